@@ -8,7 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lumbre.functions.engagement import CATEGORIES
+from lumbre.functions.sets import to_set
+from lumbre.operators import entities
 from lumbre.plans import ivr
+from lumbre.plans import poi as poi_plan
 from lumbre.sources.tables import scan
 
 # ---------------------------------------------------------------- calls
@@ -176,3 +180,110 @@ def with_tables(body: str, *names: str) -> str:
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+
+# ---------------------------------------------------------------- points of interest
+
+
+def poi_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw rows with repeated ids; ``ord`` is the input order of an id's rows."""
+    part = F.col("p_partkey")
+    order = Window.partitionBy("l_partkey").orderBy(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax"
+    )
+    lines = scan(spark, folder, "lineitem").withColumn("ord", F.row_number().over(order))
+    quiet = part % 97 == 0
+    return (
+        lines.where("l_partkey % 10 = 0 or ord = 1")
+        .join(scan(spark, folder, "part"), F.col("l_partkey") == part)
+        .select(
+            F.concat(F.lit("poi-"), part.cast("string")).alias("id"),
+            F.col("p_name").alias("name"),
+            F.col("p_type").alias("shortDescription"),
+            F.when(part % 50 == 1, "[]")
+            .otherwise(F.concat(F.lit("['"), F.col("p_brand"), F.lit("', '"), F.col("p_type"), F.lit("']")))
+            .alias("categories"),
+            F.concat(F.lit("['"), F.col("l_returnflag"), F.lit("']")).alias("tags"),
+            F.concat(F.lit("img/"), part.cast("string"), F.lit(".png")).alias("main_image_path"),
+            (1 + F.col("p_size") % 4).alias("tier"),
+            (-3.7 + (part * 37 % 1000) / 1000).alias("locationLon"),
+            (40.4 + (part * 53 % 1000) / 1000).alias("locationLat"),
+            (50 * (F.col("p_size") % 13)).alias("xps"),
+            (10001 + F.col("l_linenumber")).cast("bigint").alias("Visits"),
+            F.when(quiet, 0).otherwise(F.floor(F.col("l_quantity") * 100)).cast("bigint").alias("Likes"),
+            F.when(quiet, 0).otherwise(F.round(F.col("l_discount") * 50000)).cast("bigint").alias("Dislikes"),
+            F.round(F.col("l_tax") * 25000).cast("bigint").alias("Bookmarks"),
+            "ord",
+        )
+    )
+
+
+def poi_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw rows with their lists read as sets."""
+    return entities.parse_sets(poi_raw(spark, folder), "categories", "tags")
+
+
+def poi(spark: SparkSession, folder: str) -> DataFrame:
+    return poi_plan.clean(poi_raw(spark, folder))
+
+
+def themed(df: DataFrame) -> DataFrame:
+    """Categories renamed to the twelve fixed theme names."""
+    names = F.array(*[F.lit(c) for c in CATEGORIES])
+    theme = F.transform("categories", lambda c: F.get(names, (F.ascii(F.right(c, F.lit(1))) % 12).cast("int")))
+    return df.withColumn("categories", to_set(theme))
+
+
+def poi_engaged(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned, themed, with counts, signals, score, label and one column per theme."""
+    return poi_plan.engage(themed(poi(spark, folder)), list(CATEGORIES))
+
+
+SQL["poi_rows"] = """
+SELECT 'poi-' || CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_type AS "shortDescription",
+       CASE WHEN p_partkey % 50 = 1 THEN CAST([] AS VARCHAR[]) ELSE list_sort([p_brand, p_type]) END AS categories,
+       [l_returnflag] AS tags,
+       'img/' || CAST(p_partkey AS VARCHAR) || '.png' AS main_image_path,
+       1 + p_size % 4 AS tier,
+       CAST(-3.7 AS DOUBLE) + CAST(p_partkey * 37 % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS "locationLon",
+       CAST(40.4 AS DOUBLE) + CAST(p_partkey * 53 % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS "locationLat",
+       50 * (p_size % 13) AS xps,
+       CAST(10001 + l_linenumber AS BIGINT) AS "Visits",
+       CAST(CASE WHEN p_partkey % 97 = 0 THEN 0 ELSE floor(l_quantity * 100) END AS BIGINT) AS "Likes",
+       CAST(CASE WHEN p_partkey % 97 = 0 THEN 0 ELSE round(l_discount * 50000) END AS BIGINT) AS "Dislikes",
+       CAST(round(l_tax * 25000) AS BIGINT) AS "Bookmarks",
+       CAST(ord AS INTEGER) AS ord
+FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey,
+             l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) AS ord FROM lineitem) l
+JOIN part ON l_partkey = p_partkey
+WHERE p_partkey % 10 = 0 OR ord = 1"""
+
+SQL["poi"] = """
+SELECT id, arg_min(name, ord) AS name, arg_min("shortDescription", ord) AS "shortDescription",
+       arg_min(categories, ord) AS categories,
+       list_sort(list_distinct(flatten(list(tags)))) AS tags,
+       arg_min(main_image_path, ord) AS main_image_path, arg_min(tier, ord) AS tier,
+       arg_min("locationLon", ord) AS "locationLon", arg_min("locationLat", ord) AS "locationLat",
+       arg_min(xps, ord) AS xps,
+       CAST(round_even(avg("Visits"), 0) AS BIGINT) AS "Visits", CAST(round_even(avg("Likes"), 0) AS BIGINT) AS "Likes",
+       CAST(round_even(avg("Dislikes"), 0) AS BIGINT) AS "Dislikes",
+       CAST(round_even(avg("Bookmarks"), 0) AS BIGINT) AS "Bookmarks"
+FROM poi_rows GROUP BY id"""
+NEEDS["poi"] = ("poi_rows",)
+
+_THEMES = "[" + ", ".join(f"'{c}'" for c in CATEGORIES) + "]"
+SQL["poi_engaged"] = f"""
+SELECT *, CAST(len(categories) AS INTEGER) AS categories_count, CAST(len(tags) AS INTEGER) AS tags_count,
+       0.35::DOUBLE * "C" + 0.45::DOUBLE * "S" + 0.20::DOUBLE * "V" AS "E",
+       CASE WHEN "S" >= 0.5 AND "C" < 0.2 THEN -1 WHEN "S" < 0.5 AND "C" < 0.2 THEN 0
+            WHEN "S" < 0.5 AND "C" >= 0.2 THEN 1 ELSE 2 END AS engagement_label,
+       {", ".join(f"CAST(list_contains(categories, '{c}') AS INTEGER) AS " + '"' + c + '"' for c in CATEGORIES)}
+FROM (SELECT * REPLACE (list_sort(list_distinct(
+               [({_THEMES})[1 + ascii(right(c, 1)) % 12] FOR c IN categories])) AS categories),
+             CASE WHEN "Likes" + "Dislikes" > 0
+                  THEN CAST("Bookmarks" AS DOUBLE) / CAST("Likes" + "Dislikes" AS DOUBLE) END AS "C",
+             CASE WHEN "Likes" + "Dislikes" > 0
+                  THEN CAST("Likes" AS DOUBLE) / CAST("Likes" + "Dislikes" AS DOUBLE) END AS "S",
+             2 * (1 / (1 + exp(-0.0002::DOUBLE * ("Bookmarks" + "Likes" + "Dislikes")))) - 1 AS "V"
+      FROM poi)"""
+NEEDS["poi_engaged"] = ("poi",)
