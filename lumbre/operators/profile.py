@@ -172,15 +172,11 @@ def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 
 def inside_quantiles(df: DataFrame, columns: list[str], low: float, high: float) -> DataFrame:
     """Rows whose every named column lies between its own two quantiles, ends included."""
-    bounds = quantiles.exact_wide(df, columns, {"lo": low, "hi": high})
-    one = bounds.groupBy().agg(
-        *[F.max(F.when(F.col("column") == c, F.struct("lo", "hi"))).alias(c) for c in columns]
-    )
-    out = df
+    bounds = {b["column"]: b for b in quantiles.exact_wide(df, columns, {"lo": low, "hi": high}).collect()}
     for c in columns:
-        edge = one.select(c).scalar()
-        out = out.where((F.col(c) >= edge["lo"]) & (F.col(c) <= edge["hi"]))
-    return out
+        # one pair of constants per column, so the filter reaches the scan
+        df = df.where(F.col(c).between(bounds[c]["lo"], bounds[c]["hi"])) if c in bounds else df.where(F.lit(False))
+    return df
 
 
 def unique_check(df: DataFrame, key: str) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumbre.sources.tables import save_scratch
+
 _COARSE = 1024
 _FINE = 4096
 _START = Window.unboundedPreceding
@@ -42,26 +44,21 @@ def _count(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _split(cells: DataFrame, wanted: DataFrame, keys: list[str], order: str) -> DataFrame:
+def _locate(cells: DataFrame, wanted: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Follow each wanted rank ``k`` of a group into the one of its cells that holds it."""
     before = F.coalesce(F.sum("n").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(_START, -1)), F.lit(0))
-    running = cells.withColumn("before", before)
-    picked = running.join(wanted, keys).where("k >= before and k < before + n")
+    picked = cells.withColumn("before", before).join(wanted, keys).where("k >= before and k < before + n")
     return picked.withColumn("k", F.col("k") - F.col("before")).drop("before", "n")
 
 
-def exact(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None) -> DataFrame:
-    """Linearly interpolated quantiles: (by ..., column, p, value). Missing values are left out."""
-    by = by or []
-    group = [*by, "column"]
-    rows = melt(df, columns, by).withColumn("cell", _coarse_cell(F.col("value")))
-    cells = _count(rows, [*group, "cell"])
-
-    # Ranks wanted: for each p the one below and the one above position p * (n - 1), 0-based.
+def _wanted_ranks(cells: DataFrame, group: list[str], probs: list[float]) -> DataFrame:
+    """Coarse cells holding the ranks next to each position p * (n - 1), with the rank inside the cell."""
     whole = Window.partitionBy(*group)
-    place = whole.orderBy("cell").rowsBetween(_START, -1)
     counted = cells.withColumns(
-        {"total": F.sum("n").over(whole), "before": F.coalesce(F.sum("n").over(place), F.lit(0))}
+        {
+            "total": F.sum("n").over(whole),
+            "before": F.coalesce(F.sum("n").over(whole.orderBy("cell").rowsBetween(_START, -1)), F.lit(0)),
+        }
     )
     ranks = []
     for p in probs:
@@ -76,37 +73,55 @@ def exact(df: DataFrame, columns: list[str], probs: list[float], by: list[str] |
                 )
             )
     inside = F.filter(
-        F.array(*ranks), lambda r: (r["rank"] >= F.col("before")) & (r["rank"] < F.col("before") + F.col("n"))
+        F.array(*ranks), lambda x: (x["rank"] >= F.col("before")) & (x["rank"] < F.col("before") + F.col("n"))
     )
-    first = counted.withColumn("t", F.explode(inside)).select(
+    return counted.withColumn("t", F.explode(inside)).select(
         *group, "cell", "lo", "hi", "t.p", "t.side", "t.part", (F.col("t.rank") - F.col("before")).alias("k")
     )
 
-    found_first = first.where("lo = hi")
-    open_first = first.where("lo <> hi")
-    cut = open_first.select(*group, "cell", "lo", "hi").distinct()
-    finer = (
-        _meet(rows, cut, [*group, "cell"], bool(by))
-        .withColumn("fine", _fine_cell(F.col("value"), F.col("lo"), F.col("hi")))
-        .drop("lo", "hi")
-    )
-    wanted = open_first.select(*group, "cell", "p", "side", "part", "k")
-    second = _split(_count(finer, [*group, "cell", "fine"]), wanted, [*group, "cell"], "fine")
-
-    found_second = second.where("lo = hi")
-    open_second = second.where("lo <> hi")
-    last_keys = [*group, "cell", "fine"]
-    last_rows = _meet(finer, open_second.select(*last_keys).distinct(), last_keys, bool(by))
-    values = last_rows.groupBy(*last_keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    wanted_last = open_second.select(*last_keys, "p", "side", "part", "k")
-    found_last = _split(values, wanted_last, last_keys, "value")
-
-    out = [*group, "p", "side", "part"]
-    found = (
-        found_first.select(*out, F.col("lo").alias("value"))
-        .unionByName(found_second.select(*out, F.col("lo").alias("value")))
-        .unionByName(found_last.select(*out, "value"))
-    )
+
+def _settle(found: DataFrame, grouped: bool) -> DataFrame:
+    """Fix the outcome of a pass, so that the next one does not run it again.
+
+    Without groups it is two rows per column and quantile and is kept as local rows; with groups it
+    grows with their number and is written to the shared folder.
+    """
+    if grouped:
+        return save_scratch(found, "quantile-cells")
+    return found.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
+def exact(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None) -> DataFrame:
+    """Linearly interpolated quantiles: (by ..., column, p, value). Missing values are left out.
+
+    Runs at once, in one to three passes over the columns; a pass is skipped once every wanted rank
+    lies in a cell of equal values.
+    """
+    by = by or []
+    group = [*by, "column"]
+    tag = ["p", "side", "part"]
+    rows = melt(df, columns, by).withColumn("cell", _coarse_cell(F.col("value")))
+
+    first = _settle(_wanted_ranks(_count(rows, [*group, "cell"]), group, probs), bool(by))
+    found = first.where("lo = hi").select(*group, *tag, F.col("lo").alias("value"))
+    still = first.where("lo <> hi")
+    if not still.isEmpty():
+        keys = [*group, "cell"]
+        finer = (
+            _meet(rows, still.select(*keys, "lo", "hi").distinct(), keys, bool(by))
+            .withColumn("fine", _fine_cell(F.col("value"), F.col("lo"), F.col("hi")))
+            .drop("lo", "hi")
+        )
+        second = _locate(_count(finer, [*keys, "fine"]), still.select(*keys, *tag, "k"), keys, "fine")
+        second = _settle(second.select(*keys, "fine", "lo", "hi", *tag, "k"), bool(by))
+        found = found.unionByName(second.where("lo = hi").select(*group, *tag, F.col("lo").alias("value")))
+        still = second.where("lo <> hi")
+        if not still.isEmpty():
+            keys = [*keys, "fine"]
+            last = _meet(finer, still.select(*keys).distinct(), keys, bool(by))
+            values = last.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+            third = _locate(values, still.select(*keys, *tag, "k"), keys, "value")
+            found = found.unionByName(_settle(third.select(*group, *tag, "value"), bool(by)))
     return (
         found.groupBy(*group, "p")
         .agg(
