@@ -51,6 +51,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 def read_images(spark: SparkSession, folder: str) -> DataFrame:
     """(main_image_path relative to ``folder``, image) of every image below it."""
     images = prepare(spark).read.format("image").option("recursiveFileLookup", "true").load(folder)
-    marker = F.lit(folder.rstrip("/").rsplit("/", 1)[-1] + "/")
-    relative = F.substring_index(F.col("image.origin"), marker, -1)
+    # origins carry a scheme that the given folder may leave out
+    below = folder.split(":", 1)[-1].rstrip("/") + "/"
+    relative = F.substring_index(F.col("image.origin"), below, -1)
     return images.select(relative.alias("main_image_path"), "image")

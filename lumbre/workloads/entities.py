@@ -505,16 +505,14 @@ def centroid_distances(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(far.select("id", *[f"dist_centroid_{i}" for i in range(len(CENTRES))]))
 
 
-PREPROCESSED_SQL = with_tables(
-    f"""{_NORMED_SQL},
+PREPROCESSED_BODY = f"""{_NORMED_SQL},
       wide AS (SELECT id, {_NORMED} FROM far JOIN stats USING (i) GROUP BY id),
       t AS (SELECT avg("locationLon") AS mx, stddev_samp("locationLon") AS sx,
                    avg("locationLat") AS my, stddev_samp("locationLat") AS sy FROM poi WHERE {TRAIN_SQL})
     SELECT wide.*, {r('(tier - 1) / 3::DOUBLE')} AS tier_norm, {r('xps / 1000::DOUBLE')} AS xps_norm,
            {r('("locationLon" - mx) / sx')} AS "locationLon_norm", {r('("locationLat" - my) / sy')} AS "locationLat_norm"
-    FROM poi JOIN wide USING (id), t""",
-    "poi",
-)
+    FROM poi JOIN wide USING (id), t"""
+PREPROCESSED_SQL = with_tables(PREPROCESSED_BODY, "poi")
 _PREPROCESSED = ["id", *plan.FEATURES[:4], *[f"dist_centroid_{i}" for i in range(len(CENTRES))]]
 
 
