@@ -40,13 +40,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the cluster names none (tests, local mode) a folder of this machine is taken.
+    Only where the session names none (tests, local mode) a folder of this machine is taken.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = os.path.join(tempfile.gettempdir(), "lumbre-shared")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    return (named or os.path.join(tempfile.gettempdir(), "lumbre-shared")).rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
