@@ -12,6 +12,13 @@ from pyspark.sql import types as T
 HOT_SHARE = 0.001
 #: ... and more than this many rows; below it one task copes and no salting is wanted.
 HOT_ROWS = 1_000_000
+#: A side planned smaller than this could be one task altogether; no key of it needs cutting up.
+ONE_TASK_BYTES = 128 << 20
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate (file sizes and up); runs nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
@@ -41,6 +48,7 @@ def left_join(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
+    salt: bool | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -50,7 +58,13 @@ def left_join(
     other one. Rows of hot right keys are therefore spread over parts by a hash of the row, and left
     rows with such a key are repeated once per part. A hot key has matches by definition, so a
     repeated left row that finds none in its part is dropped, which keeps the result exact.
+
+    With ``salt=None`` this is done if the right side is planned too large for a single task.
     """
+    if salt is None:
+        salt = planned_bytes(right) > ONE_TASK_BYTES
+    if not salt:
+        return left.join(right, keys, "left")
     hot = F.broadcast(hot_keys(right, keys, share, min_rows))
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     spread = (

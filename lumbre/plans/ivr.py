@@ -48,6 +48,7 @@ def detail(
     calls: DataFrame,
     modules: DataFrame,
     steps: DataFrame,
+    salt: bool | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -57,10 +58,10 @@ def detail(
     exists, and calls without one keep a hashable key instead of all meeting in the NULL partition.
     """
     with_modules = left_join(
-        calls.select(*CALL_COLUMNS), modules.select("ivr_id", *MODULE_COLUMNS), ["ivr_id"], share, min_rows
+        calls.select(*CALL_COLUMNS), modules.select("ivr_id", *MODULE_COLUMNS), ["ivr_id"], salt, share, min_rows
     )
     keys = ["ivr_id", "module_sequece"]
-    with_steps = left_join(with_modules, steps.select(*keys, *STEP_COLUMNS), keys, share, min_rows)
+    with_steps = left_join(with_modules, steps.select(*keys, *STEP_COLUMNS), keys, salt, share, min_rows)
     return prefix_calls(with_steps, *MODULE_COLUMNS, *STEP_COLUMNS)
 
 
@@ -321,7 +322,8 @@ def recall_24h(detail: DataFrame) -> DataFrame:
     matched = recall_flags(_known_starts(detail)).select(
         F.col("ivr_id").alias("calls_ivr_id"), "repeated_phone_24H", "cause_recall_phone_24H"
     )
-    every = detail.select(
+    # distinct ids first: where the detail is a plan of joins, only the call table is read for them
+    every = detail.select("calls_ivr_id").distinct().select(
         "calls_ivr_id", F.lit(0).alias("repeated_phone_24H"), F.lit(0).alias("cause_recall_phone_24H")
     )
     return (

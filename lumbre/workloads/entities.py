@@ -13,7 +13,7 @@ from lumbre.session import prepare, scratch_path
 from lumbre.sources.files import POI_SCHEMA, read_csv, write_csv
 from lumbre.sources.tables import save_scratch, scan
 from lumbre.workloads.registry import case
-from lumbre.workloads.standins import poi, poi_engaged, poi_raw, poi_rows, with_tables
+from lumbre.workloads.standins import poi, poi_engaged, poi_engaged_stage, poi_raw, poi_rows, poi_stage, with_tables
 from lumbre.workloads.support import flat, r, rounded
 
 LIST = "array_to_string({}, ',')"
@@ -113,7 +113,7 @@ def _box_sql(low: float, high: float) -> str:
 
 @case("filter_quantile_box", with_tables(f"{_box_sql(0.1, 0.9)} UNION ALL {_box_sql(0.25, 0.75)}", "poi"))
 def filter_quantile_box(spark: SparkSession, folder: str) -> DataFrame:
-    rows = poi(spark, folder)
+    rows = poi_stage(spark, folder)
     boxes = [
         profile.inside_quantiles(rows, ["locationLon", "locationLat"], low, high).select("id", F.lit(str(low)).alias("box"))
         for low, high in ((0.1, 0.9), (0.25, 0.75))
@@ -426,7 +426,7 @@ def zscore_from_train(spark: SparkSession, folder: str) -> DataFrame:
 @case("udf_normalize_coordinates", ZSCORE_SQL)
 def udf_normalize_coordinates(spark: SparkSession, folder: str) -> DataFrame:
     # Fitted form: one row of statistics is taken to the driver and applied as constants.
-    rows = poi(spark, folder)
+    rows = poi_stage(spark, folder)
     s = plan.fit_stats(_train(rows), CENTRES)
     normed = rows.transform(plan.normalize_coordinates, s.lon_mean, s.lon_std, s.lat_mean, s.lat_std)
     return rounded(normed.select("id", "locationLon_norm", "locationLat_norm"))
@@ -499,7 +499,7 @@ _NORMED_SQL = f"""WITH {CENTRES_SQL},
     with_tables(f"{_NORMED_SQL} SELECT id, {_NORMED} FROM far JOIN stats USING (i) GROUP BY id", "poi"),
 )
 def centroid_distances(spark: SparkSession, folder: str) -> DataFrame:
-    rows = poi(spark, folder)
+    rows = poi_stage(spark, folder)
     s = plan.fit_stats(_train(rows), CENTRES)
     far = geo.centre_distances(rows, s.centres, s.dist_mean, s.dist_std)
     return rounded(far.select("id", *[f"dist_centroid_{i}" for i in range(len(CENTRES))]))
@@ -518,7 +518,7 @@ _PREPROCESSED = ["id", *plan.FEATURES[:4], *[f"dist_centroid_{i}" for i in range
 
 @case("apply_preprocessing", PREPROCESSED_SQL)
 def apply_preprocessing(spark: SparkSession, folder: str) -> DataFrame:
-    rows = poi(spark, folder)
+    rows = poi_stage(spark, folder)
     stats = plan.fit_stats(_train(rows), CENTRES)
     return rounded(plan.preprocess(plan.preprocess(rows, stats), stats).select(*_PREPROCESSED))
 
@@ -526,7 +526,7 @@ def apply_preprocessing(spark: SparkSession, folder: str) -> DataFrame:
 @case("sink_stats", PREPROCESSED_SQL)
 def sink_stats(spark: SparkSession, folder: str) -> DataFrame:
     # Statistics are saved, loaded again and used.
-    rows = poi(spark, folder)
+    rows = poi_stage(spark, folder)
     path = scratch_path(prepare(spark), "stats")
     plan.fit_stats(_train(rows), CENTRES).save(spark, path)
     return rounded(plan.preprocess(rows, plan.Stats.load(spark, path)).select(*_PREPROCESSED))
@@ -556,11 +556,11 @@ _SIZES = """counts AS (SELECT engagement_label AS label, count(*) AS n FROM poi_
     ),
 )
 def split_report(spark: SparkSession, folder: str) -> DataFrame:
-    rows = poi_engaged(spark, folder).select("id", "engagement_label")
+    rows = poi_engaged_stage(spark, folder).select("id", "engagement_label")
     return rounded(split.split_report(split.stratified_split(rows, "id", "engagement_label"), "engagement_label"))
 
 
 @case("stratified_split")
 def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
-    rows = poi_engaged(spark, folder).select("id", "engagement_label")
+    rows = poi_engaged_stage(spark, folder).select("id", "engagement_label")
     return split.stratified_split(rows, "id", "engagement_label")

@@ -13,13 +13,13 @@ from lumbre.plans import poi as plan
 from lumbre.sources.tables import save_scratch, scan
 from lumbre.workloads.entities import CENTRES, PREPROCESSED_BODY, TRAIN_SQL
 from lumbre.workloads.registry import case
-from lumbre.workloads.standins import poi_engaged, with_tables
+from lumbre.workloads.standins import poi_engaged_stage, with_tables
 from lumbre.workloads.support import r, rounded
 
 
 def _split_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Engaged rows with their split, saved as one stage hands its rows to the next."""
-    rows = save_scratch(poi_engaged(spark, folder), "poi-engaged")
+    rows = poi_engaged_stage(spark, folder)
     return save_scratch(split.stratified_split(rows, "id", "engagement_label"), "poi-split")
 
 
@@ -48,7 +48,7 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def project_features(spark: SparkSession, folder: str) -> DataFrame:
-    rows = poi_engaged(spark, folder)
+    rows = poi_engaged_stage(spark, folder)
     stats = plan.fit_stats(rows.where(F.expr(TRAIN_SQL)), CENTRES)
     return rounded(plan.preprocess(rows, stats).select(*plan.FEATURES))
 
@@ -63,7 +63,7 @@ def project_features(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def assemble_features(spark: SparkSession, folder: str) -> DataFrame:
-    rows = poi_engaged(spark, folder)
+    rows = poi_engaged_stage(spark, folder)
     stats = plan.fit_stats(rows.where(F.expr(TRAIN_SQL)), CENTRES)
     made = models.assemble(plan.preprocess(rows, stats), plan.FEATURES, _vectors(spark, folder))
     items = vector_to_array("features")

@@ -10,7 +10,7 @@ from lumbre.operators import metrics, profile, quantiles
 from lumbre.plans import poi as plan
 from lumbre.sources.tables import scan
 from lumbre.workloads.registry import case
-from lumbre.workloads.standins import poi, poi_raw, poi_rows, with_tables
+from lumbre.workloads.standins import poi, poi_raw, poi_rows, poi_stage, with_tables
 from lumbre.workloads.support import per_column, r, rounded
 
 NUMBERS = ["tier", "xps", "locationLon", "locationLat", *plan.METRICS]
@@ -196,7 +196,7 @@ _DESCRIBE = f"""{{name}} AS "column", count({{c}}) AS "count", {r("avg({c})")} A
 
 @case("describe", with_tables(per_column(NUMBERS, _DESCRIBE, "poi"), "poi"))
 def describe(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.describe(poi(spark, folder), NUMBERS))
+    return rounded(profile.describe(poi_stage(spark, folder), NUMBERS))
 
 
 _PROBS = [0.1, 0.25, 0.5, 0.75, 0.9]
@@ -240,7 +240,7 @@ def _histogram_sql(column: str, bins: int, source: str) -> str:
     with_tables("\nUNION ALL\n".join(_histogram_sql(c, 40, "poi") for c in ("Likes", "Dislikes", "Bookmarks")), "poi"),
 )
 def histogram_fixed(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.histogram(poi(spark, folder), ["Likes", "Dislikes", "Bookmarks"], 40))
+    return rounded(profile.histogram(poi_stage(spark, folder), ["Likes", "Dislikes", "Bookmarks"], 40))
 
 
 def _box_sql(source: str, by: str, columns: list[str]) -> str:
@@ -268,7 +268,7 @@ def _box_sql(source: str, by: str, columns: list[str]) -> str:
     ),
 )
 def box_stats_by_group(spark: SparkSession, folder: str) -> DataFrame:
-    rows = poi(spark, folder).select(F.explode("categories").alias("category"), "Bookmarks", "Likes", "Dislikes")
+    rows = poi_stage(spark, folder).select(F.explode("categories").alias("category"), "Bookmarks", "Likes", "Dislikes")
     return rounded(profile.box_stats(rows, "category", ["Bookmarks", "Likes", "Dislikes"]))
 
 

@@ -13,7 +13,7 @@ from lumbre.functions.sets import to_set
 from lumbre.operators import entities
 from lumbre.plans import ivr
 from lumbre.plans import poi as poi_plan
-from lumbre.sources.tables import scan
+from lumbre.sources.tables import save_scratch, scan
 
 # ---------------------------------------------------------------- calls
 
@@ -227,6 +227,15 @@ def poi(spark: SparkSession, folder: str) -> DataFrame:
     return poi_plan.clean(poi_raw(spark, folder))
 
 
+def poi_stage(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned table saved, as one stage hands it to the next; for work in several passes."""
+    return save_scratch(poi(spark, folder), "poi-clean")
+
+
+def poi_engaged_stage(spark: SparkSession, folder: str) -> DataFrame:
+    return save_scratch(poi_engaged(spark, folder), "poi-engaged")
+
+
 def themed(df: DataFrame) -> DataFrame:
     """Categories renamed to the twelve fixed theme names."""
     names = F.array(*[F.lit(c) for c in CATEGORIES])

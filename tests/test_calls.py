@@ -72,7 +72,7 @@ def test_left_join_with_hot_keys(spark, share, min_rows):
     b = spark.createDataFrame(right, "k int, b string")
     hot = {r["k"]: r["_parts"] for r in joins.hot_keys(b, ["k"], share, min_rows).collect()}
     assert (set(hot) >= {1, 2}) == (min_rows == 5)
-    got = Counter(tuple(r) for r in joins.left_join(a, b, ["k"], share, min_rows).select("k", "a", "b").collect())
+    got = Counter(tuple(r) for r in joins.left_join(a, b, ["k"], True, share, min_rows).select("k", "a", "b").collect())
     matches = {}
     for k, v in right:
         matches.setdefault(k, []).append(v)
@@ -90,8 +90,8 @@ def test_detail_keeps_calls_and_modules_without_children(spark):
     steps = spark.createDataFrame([(1, 1, 1), (1, 1, 2), (2, None, 1), (3, 1, 1)], "ivr_id long, module_sequece int, step_sequence int")
     steps = steps.withColumns({c: F.lit("y") for c in ivr.STEP_COLUMNS[1:]})
     expected = sorted([(1, 1, 1), (1, 1, 2), (1, 2, None), (2, None, None), (3, None, None)], key=str)
-    for share, min_rows in ((0.001, 1_000_000), (0.1, 1)):
-        rows = ivr.detail(calls, modules, steps, share, min_rows).collect()
+    for how in ((None,), (True,), (True, 0.1, 1)):
+        rows = ivr.detail(calls, modules, steps, *how).collect()
         assert sorted(((r["calls_ivr_id"], r["module_sequece"], r["step_sequence"]) for r in rows), key=str) == expected
         assert len(rows[0]) == 25
 
