@@ -177,68 +177,88 @@ def _second(u: Column) -> Column:
     return ((u - F.pmod(u, F.lit(_SECOND))) / _SECOND).cast("bigint")
 
 
-def recall_flags(starts: DataFrame) -> DataFrame:
-    """Recall flags per (ivr_id, phone, u), ``u`` being the start in microseconds.
+def _call_starts(detail: DataFrame) -> DataFrame:
+    """(ivr_id, phone, u) of every row: the phone is NULL where it is not known, ``u`` is the start
+    in microseconds."""
+    return detail.select(
+        F.col("calls_ivr_id").alias("ivr_id"),
+        F.nullif("calls_phone_number", F.lit(C.UNKNOWN)).alias("phone"),
+        F.unix_micros("calls_start_date").alias("u"),
+    )
+
 
-    ``starts`` holds distinct rows with a known phone. A call is repeated when another call of the
-    same phone began in the 24 hours before it, and causes a recall when one began after it.
+def attach_recall(calls: DataFrame, starts: DataFrame) -> DataFrame:
+    """Add both recall flags to call-level rows that have ``ivr_id``, ``phone`` and ``u``.
 
-    No pairs are built. Calls are first summed up per phone and second, keeping the first and last
-    start; at least one whole second apart, the nearest neighbour decides whether any neighbour is
-    in reach, and it is found with running extremes over those summaries. The window is cut into
+    ``starts`` holds these three columns for all calls (repeats do not matter). A call is repeated
+    when another call of the same phone began in the 24 hours before it, and causes a recall when
+    one began after it.
+
+    No pairs are built. Starts are first summed up per phone and second, keeping the first and the
+    last one. At least one whole second apart, the nearest neighbour decides whether any neighbour
+    is in reach, and it is found with running extremes over those summaries. The window is cut into
     stretches of days (with the rows in reach copied over the cut), so one partition never holds
     more than a stretch of seconds, however many calls a phone has. The join back is on phone and
-    second, which adaptive execution can split.
+    second; a hot pair of them is on the side that adaptive execution can split.
 
-    A call must not match another row of its own id. Ids with a single start cannot, as a start is
-    never a second away from itself. Ids with several starts are compared with single-start ids
-    through their own summary columns and with each other by ``_other_id_flags``.
+    A call must not match another row of its own id. An id with a single start cannot, as a start is
+    never a second away from itself. Whether any id has several starts is looked up first; if so,
+    those are compared with single-start ids through summary columns of their own, and with each
+    other by ``_among_several``.
     """
-    several_ids = (
-        starts.groupBy("ivr_id")
+    usable = starts.where("ivr_id is not null and phone is not null and u is not null")
+    several = (
+        usable.groupBy("ivr_id")
         .agg(F.min("u").alias("first"), F.max("u").alias("last"))
         .where("first <> last")
         .select("ivr_id", F.lit(True).alias("several"))
     )
-    tagged = starts.join(several_ids, "ivr_id", "left").select(
-        "ivr_id",
-        "phone",
-        "u",
-        F.coalesce("several", F.lit(False)).alias("several"),
-        _second(F.col("u")).alias("sec"),
+    if several.isEmpty():
+        near = _with_neighbours(_per_second(usable, {"": F.col("u")}))
+        before, after = _reached("")
+        return _join_near(calls, near).withColumns(_flag_columns(before, after)).drop("sec", *near.columns[2:])
+
+    marked = usable.join(several, "ivr_id", "left")
+    single = F.when(F.col("several").isNull(), F.col("u"))
+    near = _with_neighbours(_per_second(marked, {"": F.col("u"), "1": single}))
+    among = _among_several(marked.where("several").select("ivr_id", "phone", "u").distinct())
+    (any_before, any_after), (single_before, single_after) = _reached(""), _reached("1")
+    own = F.col("several")
+    before = F.when(own, single_before | F.coalesce("among_before", F.lit(False))).otherwise(any_before)
+    after = F.when(own, single_after | F.coalesce("among_after", F.lit(False))).otherwise(any_after)
+    return (
+        _join_near(calls.join(several, "ivr_id", "left").join(among, ["ivr_id", "phone", "u"], "left"), near)
+        .withColumns(_flag_columns(before, after))
+        .drop("several", "sec", "among_before", "among_after", *near.columns[2:])
     )
 
-    single = F.when(~F.col("several"), F.col("u"))
-    seconds = tagged.groupBy("phone", "sec").agg(
-        F.min("u").alias("lo"), F.max("u").alias("hi"), F.min(single).alias("lo1"), F.max(single).alias("hi1")
-    )
-    near = _with_neighbours(seconds)
-    joined = tagged.join(near, ["phone", "sec"], "left")
-
-    def reached(suffix: str) -> tuple[Column, Column]:
-        u = F.col("u")
-        before = (F.col(f"before_lo{suffix}") <= u - _NEAR) | (F.col(f"before_hi{suffix}") >= u - _FAR)
-        after = (F.col(f"after_hi{suffix}") >= u + _NEAR) | (F.col(f"after_lo{suffix}") <= u + _FAR)
-        return before, after
-
-    any_before, any_after = reached("")
-    single_before, single_after = reached("1")
-    several = F.col("several")
-    flagged = joined.select(
-        "ivr_id",
-        "phone",
-        "u",
-        C.flag(F.when(several, single_before).otherwise(any_before)).alias("repeated"),
-        C.flag(F.when(several, single_after).otherwise(any_after)).alias("cause"),
-    )
-    among = _other_id_flags(tagged.where("several").select("ivr_id", "phone", "u"))
-    return flagged.join(among, ["ivr_id", "phone", "u"], "left").select(
-        "ivr_id",
-        "phone",
-        "u",
-        F.greatest("repeated", F.coalesce("among_repeated", F.lit(0))).alias("repeated_phone_24H"),
-        F.greatest("cause", F.coalesce("among_cause", F.lit(0))).alias("cause_recall_phone_24H"),
-    )
+
+def _flag_columns(before: Column, after: Column) -> dict[str, Column]:
+    usable = F.col("ivr_id").isNotNull()
+    return {
+        "repeated_phone_24H": C.flag(usable & before),
+        "cause_recall_phone_24H": C.flag(usable & after),
+    }
+
+
+def _per_second(starts: DataFrame, times: dict[str, Column]) -> DataFrame:
+    """First and last start per phone and second, for each named kind of start."""
+    extremes = []
+    for kind, u in times.items():
+        extremes += [F.min(u).alias(f"lo{kind}"), F.max(u).alias(f"hi{kind}")]
+    return starts.groupBy("phone", _second(F.col("u")).alias("sec")).agg(*extremes)
+
+
+def _join_near(calls: DataFrame, near: DataFrame) -> DataFrame:
+    return calls.withColumn("sec", _second(F.col("u"))).join(near, ["phone", "sec"], "left")
+
+
+def _reached(kind: str) -> tuple[Column, Column]:
+    """Whether a start of this kind lies within reach before and after ``u``."""
+    u = F.col("u")
+    before = (F.col(f"before_lo{kind}") <= u - _NEAR) | (F.col(f"before_hi{kind}") >= u - _FAR)
+    after = (F.col(f"after_hi{kind}") >= u + _NEAR) | (F.col(f"after_lo{kind}") <= u + _FAR)
+    return before, after
 
 
 def _stretched(df: DataFrame, sec: Column) -> DataFrame:
@@ -261,22 +281,22 @@ def _with_neighbours(seconds: DataFrame) -> DataFrame:
     Only frames that grow with the row are used (they cost one step per row); looking ahead is
     looking back in descending order.
     """
-    placed = _stretched(seconds, F.col("sec"))
+    kinds = [c.removeprefix("lo") for c in seconds.columns if c.startswith("lo")]
     ahead = Window.partitionBy("phone", "stretch").orderBy("sec")
     back = Window.partitionBy("phone", "stretch").orderBy(F.desc("sec"))
-    start = Window.unboundedPreceding
-    columns = {}
-    for s in ("", "1"):
-        columns[f"before_lo{s}"] = F.min(f"lo{s}").over(ahead.rangeBetween(-1, -1))
-        columns[f"before_hi{s}"] = F.max(f"hi{s}").over(ahead.rangeBetween(start, -2))
-    for s in ("", "1"):
-        columns[f"after_hi{s}"] = F.max(f"hi{s}").over(back.rangeBetween(-1, -1))
-        columns[f"after_lo{s}"] = F.min(f"lo{s}").over(back.rangeBetween(start, -2))
-    return placed.withColumns(columns).where("own").select("phone", "sec", *columns)
+    begin = Window.unboundedPreceding
+    before, after = {}, {}
+    for k in kinds:
+        before[f"before_lo{k}"] = F.min(f"lo{k}").over(ahead.rangeBetween(-1, -1))
+        before[f"before_hi{k}"] = F.max(f"hi{k}").over(ahead.rangeBetween(begin, -2))
+        after[f"after_hi{k}"] = F.max(f"hi{k}").over(back.rangeBetween(-1, -1))
+        after[f"after_lo{k}"] = F.min(f"lo{k}").over(back.rangeBetween(begin, -2))
+    columns = {**before, **after}
+    return _stretched(seconds, F.col("sec")).withColumns(columns).where("own").select("phone", "sec", *columns)
 
 
-def _other_id_flags(rows: DataFrame) -> DataFrame:
-    """Recall flags counting only rows of another id, for ids that have several starts.
+def _among_several(rows: DataFrame) -> DataFrame:
+    """Whether a row of another id is in reach, counting only ids that have several starts.
 
     Walking a phone's rows in time, ``other`` is the last start whose id differs from the row's own.
     The latest row at least a second away then decides: it counts itself if it has another id,
@@ -285,7 +305,7 @@ def _other_id_flags(rows: DataFrame) -> DataFrame:
     out = _stretched(rows, _second(F.col("u")))
     part = Window.partitionBy("phone", "stretch")
     begin = Window.unboundedPreceding
-    for hit, time in (("among_repeated", F.col("u")), ("among_cause", -F.col("u"))):
+    for hit, time in (("among_before", F.col("u")), ("among_after", -F.col("u"))):
         walk = part.orderBy("t", "ivr_id")
         out = (
             out.withColumn("t", time)
@@ -298,41 +318,19 @@ def _other_id_flags(rows: DataFrame) -> DataFrame:
                 "nearest",
                 F.when(F.col("row.ivr_id") != F.col("ivr_id"), F.col("row.t")).otherwise(F.col("row.other")),
             )
-            .withColumn(hit, C.flag(F.col("nearest") >= F.col("t") - _FAR))
+            .withColumn(hit, F.col("nearest") >= F.col("t") - _FAR)
         )
-    return out.where("own").select("ivr_id", "phone", "u", "among_repeated", "among_cause")
-
-
-def _known_starts(detail: DataFrame) -> DataFrame:
-    """Distinct (ivr_id, phone, u) of calls that can match: phone known and start present."""
-    return (
-        detail.where((F.col("calls_phone_number") != C.UNKNOWN) & F.col("calls_start_date").isNotNull())
-        .select(
-            F.col("calls_ivr_id").alias("ivr_id"),
-            F.col("calls_phone_number").alias("phone"),
-            F.unix_micros("calls_start_date").alias("u"),
-        )
-        .where(F.col("ivr_id").isNotNull())
-        .distinct()
-    )
+    return out.where("own").select("ivr_id", "phone", "u", "among_before", "among_after")
 
 
 def recall_24h(detail: DataFrame) -> DataFrame:
     """Both recall flags per call id, 0 for calls that match nothing."""
-    matched = recall_flags(_known_starts(detail)).select(
-        F.col("ivr_id").alias("calls_ivr_id"), "repeated_phone_24H", "cause_recall_phone_24H"
-    )
-    # distinct ids first: where the detail is a plan of joins, only the call table is read for them
-    every = detail.select("calls_ivr_id").distinct().select(
-        "calls_ivr_id", F.lit(0).alias("repeated_phone_24H"), F.lit(0).alias("cause_recall_phone_24H")
-    )
-    return (
-        every.unionByName(matched)
-        .groupBy("calls_ivr_id")
-        .agg(
-            F.max("repeated_phone_24H").alias("repeated_phone_24H"),
-            F.max("cause_recall_phone_24H").alias("cause_recall_phone_24H"),
-        )
+    # Where the detail is a plan of joins, only its call table is read: steps do not matter here.
+    starts = _call_starts(detail)
+    flagged = attach_recall(starts.distinct(), starts)
+    return flagged.groupBy(F.col("ivr_id").alias("calls_ivr_id")).agg(
+        F.max("repeated_phone_24H").alias("repeated_phone_24H"),
+        F.max("cause_recall_phone_24H").alias("cause_recall_phone_24H"),
     )
 
 
@@ -358,7 +356,7 @@ def summary(detail: DataFrame) -> DataFrame:
 
     All fields but the recall come from a single aggregation, combined before its shuffle. The
     document belongs to the call id, so it is lifted to the id over the (already small) groups.
-    Recall flags are worked out on three slim columns and joined at call level, never at step level.
+    Recall neighbours are worked out on three slim columns and joined at call level, never at step level.
     """
     groups = (
         detail.withColumn("vdn_aggregation", C.vdn_aggregation(F.col("calls_vdn_label")))
@@ -371,12 +369,14 @@ def summary(detail: DataFrame) -> DataFrame:
         )
         .withColumn("doc", F.max("doc").over(Window.partitionBy("calls_ivr_id")))
     )
-    recall = recall_flags(_known_starts(detail)).withColumnsRenamed(
-        {"ivr_id": "calls_ivr_id", "phone": "calls_phone_number", "u": "start_micros"}
+    calls = groups.withColumns(
+        {
+            "ivr_id": F.col("calls_ivr_id"),
+            "phone": F.nullif("calls_phone_number", F.lit(C.UNKNOWN)),
+            "u": F.unix_micros("calls_start_date"),
+        }
     )
-    on = ["calls_ivr_id", "calls_phone_number", "start_micros"]
-    joined = groups.withColumn("start_micros", F.unix_micros("calls_start_date")).join(recall, on, "left")
-    return joined.select(
+    return attach_recall(calls, _call_starts(detail)).select(
         *SUMMARY_KEYS,
         *_document_columns(F.col("doc")),
         "customer_phone",
@@ -384,6 +384,6 @@ def summary(detail: DataFrame) -> DataFrame:
         "masiva_lg",
         "info_by_phone_lg",
         "info_by_dni_lg",
-        F.coalesce("repeated_phone_24H", F.lit(0)).alias("repeated_phone_24H"),
-        F.coalesce("cause_recall_phone_24H", F.lit(0)).alias("cause_recall_phone_24H"),
+        "repeated_phone_24H",
+        "cause_recall_phone_24H",
     )
