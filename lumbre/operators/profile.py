@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,21 +89,24 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
     return value_counts(df, column).orderBy(F.desc("n"), "value").limit(k)
 
 
+def _number_stats(df: DataFrame, columns: list[str], stats: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """One row per column with the named aggregates, from one pass that does not multiply the rows."""
+    named = {f"{name}_{i}": fn(_countable(df, c).cast("double")) for i, c in enumerate(columns) for name, fn in stats.items()}
+    each = [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{name}_{i}").alias(name) for name in stats])
+        for i, c in enumerate(columns)
+    ]
+    wide = df.agg(*[expr.alias(name) for name, expr in named.items()])
+    return wide.select(F.explode(F.array(*each)).alias("x")).select("x.*")
+
+
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample std, min, quartiles and max: one row per column."""
-    stats = (
-        quantiles.melt(df, columns)
-        .groupBy("column")
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
+    stats = _number_stats(
+        df, columns, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     )
     return stats.join(quantiles.exact_wide(df, columns, QUARTILES), "column").select(
         "column", "count", "mean", "std", "min", *QUARTILES, "max"
@@ -109,9 +114,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def mean_std_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    stats = quantiles.melt(df, columns).groupBy("column").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")
-    )
+    stats = _number_stats(df, columns, {"mean": F.avg, "std": F.stddev_samp})
     return stats.join(quantiles.exact_wide(df, columns, {"median": 0.5}), "column")
 
 
@@ -121,9 +124,10 @@ def histogram(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
     The last bin is closed. A constant column is put in the middle of a range of width one.
     """
     long = quantiles.melt(df, columns)
-    flat = F.when(F.min("value") == F.max("value"), 0.5).otherwise(0.0)
     # one row per column: as small as the column list
-    ranges = long.groupBy("column").agg((F.min("value") - flat).alias("lo"), (F.max("value") + flat).alias("hi"))
+    extremes = _number_stats(df, columns, {"least": F.min, "most": F.max}).where("least is not null")
+    flat = F.when(F.col("least") == F.col("most"), 0.5).otherwise(0.0)
+    ranges = extremes.select("column", (F.col("least") - flat).alias("lo"), (F.col("most") + flat).alias("hi"))
     bin_of = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
     counts = (
         long.join(F.broadcast(ranges), "column")
