@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The functions below travel to the executors themselves; the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Weights of blue, green and red in the 8-bit gray value, in 1/32768.
 GRAY_WEIGHTS = (3735, 19235, 9798)
 GRAY_SHIFT = 15
