@@ -18,13 +18,16 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: Settings that only a new session can take.
+BUILD_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app: str = "lumbre", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; on a cluster leave ``master`` to spark-submit."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **BUILD_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

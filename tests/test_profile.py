@@ -25,20 +25,23 @@ def _values(kind, rng):
 
 
 @pytest.mark.parametrize("kind", ["uniform", "whole", "outliers", "close", "one", "constant", "signs"])
-def test_quantiles_are_exact(spark, kind):
+@pytest.mark.parametrize("cells", [True, False])
+def test_quantiles_are_exact(spark, kind, cells):
     values = _values(kind, random.Random(5))
     df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double").repartition(3)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {r["p"]: r["value"] for r in quantiles.exact(df, ["x"], probs).collect()}
+    got = {r["p"]: r["value"] for r in quantiles.exact(df, ["x"], probs, cells=cells).collect()}
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(values, p)), rel=1e-12, abs=1e-300)
 
 
-def test_grouped_quantiles(spark):
+@pytest.mark.parametrize("cells", [True, False])
+def test_grouped_quantiles(spark, cells):
     rng = random.Random(9)
     rows = [(rng.choice("aaab"), rng.random(), float(rng.randrange(5))) for _ in range(600)]
     df = spark.createDataFrame(rows, "g string, x double, y double")
-    got = {(r["g"], r["column"], r["p"]): r["value"] for r in quantiles.exact(df, ["x", "y"], [0.25, 0.5], ["g"]).collect()}
+    found = quantiles.exact(df, ["x", "y"], [0.25, 0.5], ["g"], cells).collect()
+    got = {(r["g"], r["column"], r["p"]): r["value"] for r in found}
     for g in "ab":
         for i, c in ((1, "x"), (2, "y")):
             for p in (0.25, 0.5):
