@@ -7,30 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbre.functions import engagement as E
-from lumbre.operators import metrics, split
-from lumbre.plans import models
+from lumbre.plans import models, stages
 from lumbre.plans import poi as plan
-from lumbre.sources.tables import save_scratch, scan
+from lumbre.session import scratch_path
+from lumbre.sources.tables import scan
 from lumbre.workloads.entities import CENTRES, PREPROCESSED_BODY, TRAIN_SQL
 from lumbre.workloads.registry import case
-from lumbre.workloads.standins import poi_engaged_stage, with_tables
+from lumbre.workloads.standins import poi_engaged, poi_engaged_stage, with_tables
 from lumbre.workloads.support import r, rounded
 
 
-def _split_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Engaged rows with their split, saved as one stage hands its rows to the next."""
-    rows = poi_engaged_stage(spark, folder)
-    return save_scratch(split.stratified_split(rows, "id", "engagement_label"), "poi-split")
-
-
-def _featured(spark: SparkSession, folder: str) -> DataFrame:
-    """Preprocessed rows of all splits, every statistic fitted on train."""
-    rows = _split_rows(spark, folder)
-    train = rows.where("split = 'train'")
-    centres = models.centres_of(models.fit_kmeans(train, plan.N_CENTRES))
-    return save_scratch(plan.preprocess(rows, plan.fit_stats(train, centres)), "poi-featured")
-
-
 def _vectors(spark: SparkSession, folder: str) -> DataFrame:
     """(id, vector): image vectors by entity id."""
     key = F.concat(F.lit("poi-"), F.col("vec_id").cast("string"))
@@ -77,59 +63,47 @@ def assemble_features(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _split_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return stages.split_rows(poi_engaged(spark, folder), scratch_path(spark, "poi"))
+
+
 @case("kmeans_fit")
 def kmeans_fit(spark: SparkSession, folder: str) -> DataFrame:
     # Size and centre of each of the 17 clusters of the train split.
-    train = save_scratch(_split_rows(spark, folder).where("split = 'train'").select("id", "locationLon", "locationLat"), "train")
-    model = models.fit_kmeans(train, 17)
-    assigned = model.transform(models.assemble(train, ["locationLon", "locationLat"])).withColumnRenamed("prediction", "geo_cluster")
-    return assigned.groupBy("geo_cluster").agg(
+    train = _split_rows(spark, folder).where("split = 'train'")
+    model = models.fit_kmeans(train, stages.N_CLUSTERS)
+    assigned = model.transform(models.assemble(train, ["locationLon", "locationLat"]))
+    return assigned.groupBy(F.col("prediction").alias("geo_cluster")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("locationLon").alias("lon"), F.avg("locationLat").alias("lat")
     )
 
 
 @case("kmeans_k_sweep")
 def kmeans_k_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    train = _split_rows(spark, folder).where("split = 'train'").select("locationLon", "locationLat")
+    train = _split_rows(spark, folder).where("split = 'train'")
     return models.k_sweep(train, [10, 15, 20, 30, 16, 17, 18, 19])
 
 
-def _sets(spark: SparkSession, folder: str, with_vectors: bool) -> tuple[DataFrame, DataFrame]:
-    vectors = _vectors(spark, folder) if with_vectors else None
-    made = models.assemble(_featured(spark, folder), plan.FEATURES, vectors)
-    made = save_scratch(made.select("id", "features", "E", "engagement_label", "split"), "assembled")
-    return made.where("split = 'train'"), made.where("split = 'test'")
-
-
-def _regression(spark: SparkSession, folder: str, with_vectors: bool) -> DataFrame:
-    train, test = _sets(spark, folder, with_vectors)
-    scored = models.predict(models.fit_regressor(train, "E"), test)
-    return metrics.regression_metrics(scored, "E", "prediction")
-
-
-def _classification(spark: SparkSession, folder: str, with_vectors: bool) -> DataFrame:
-    train, test = _sets(spark, folder, with_vectors)
-    scored = models.predict(models.fit_classifier(train), test)
-    truth = E.label_class(F.col("engagement_label"))
-    pairs = scored.select(truth.alias("t"), F.col("prediction").cast("int").alias("p"))
-    return metrics.classification_report(pairs, "t", "p")
+def _assembled(spark: SparkSession, folder: str, vectors: DataFrame | None = None) -> stages.Prepared:
+    path = scratch_path(spark, "poi")
+    return stages.assemble(stages.prepare(poi_engaged(spark, folder), path), path, vectors)
 
 
 @case("gbt_regression")
 def gbt_regression(spark: SparkSession, folder: str) -> DataFrame:
-    return _regression(spark, folder, with_vectors=False)
+    return stages.evaluate_regression(_assembled(spark, folder))
 
 
 @case("gbt_regression_vectors")
 def gbt_regression_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    return _regression(spark, folder, with_vectors=True)
+    return stages.evaluate_regression(_assembled(spark, folder, _vectors(spark, folder)))
 
 
 @case("gbt_classification")
 def gbt_classification(spark: SparkSession, folder: str) -> DataFrame:
-    return _classification(spark, folder, with_vectors=False)
+    return stages.evaluate_classification(_assembled(spark, folder))
 
 
 @case("gbt_classification_vectors")
 def gbt_classification_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    return _classification(spark, folder, with_vectors=True)
+    return stages.evaluate_classification(_assembled(spark, folder, _vectors(spark, folder)))

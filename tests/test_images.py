@@ -86,9 +86,9 @@ def test_boosted_trees_learn(spark, monkeypatch):
         (F.col("id") % 4 - 1).cast("int").alias("engagement_label"),
     )
     made = models.assemble(df, ["a", "b"])
-    scored = models.predict(models.fit_classifier(made), made)
+    scored = models.fit_classifier(made).transform(made)
     assert scored.where("prediction = a").count() == 200
-    fitted = models.predict(models.fit_regressor(made, "a"), made)
+    fitted = models.fit_regressor(made, "a").transform(made)
     assert fitted.agg(F.max(F.abs(F.col("prediction") - F.col("a")))).first()[0] < 1.0
 
 

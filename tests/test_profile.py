@@ -86,7 +86,9 @@ def test_regression_metrics(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (5.0, 4.0)], "t double, p double")
     assert tuple(metrics.regression_metrics(df, "t", "p").first()) == pytest.approx((2 / 3, 2 / 3, 0.75))
     flat = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "t double, p double")
-    assert metrics.regression_metrics(flat, "t", "p").first()["r2"] is None
+    assert metrics.regression_metrics(flat, "t", "p").first()["r2"] == 0.0
+    assert metrics.regression_metrics(flat, "t", "t").first()["r2"] == 1.0
+    assert metrics.regression_metrics(flat.limit(1), "t", "p").first()["r2"] is None
 
 
 def test_classification(spark):
