@@ -40,8 +40,8 @@ def prepare(engaged: DataFrame, folder: str) -> Prepared:
     """Split, cluster and normalize; every statistic comes from the train split."""
     rows = split_rows(engaged, folder)
     train = rows.where("split = 'train'")
-    clusters = models.centres_of(models.fit_kmeans(train, N_CLUSTERS))
-    centres = models.centres_of(models.fit_kmeans(train, poi.N_CENTRES))
+    fitted = models.fit_kmeans_all(train, [N_CLUSTERS, poi.N_CENTRES])
+    clusters, centres = (models.centres_of(fitted[k]) for k in (N_CLUSTERS, poi.N_CENTRES))
     stats = poi.fit_stats(train, centres)
     stats.save(rows.sparkSession, f"{folder}/stats")
     featured = geo.nearest_centre(poi.preprocess(rows, stats), clusters)
