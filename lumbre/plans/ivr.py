@@ -300,7 +300,8 @@ def _among_several(rows: DataFrame) -> DataFrame:
 
     Walking a phone's rows in time, ``other`` is the last start whose id differs from the row's own.
     The latest row at least a second away then decides: it counts itself if it has another id,
-    otherwise its ``other`` does. All frames are running ones; looking ahead walks negated time.
+    otherwise its ``other`` does. All frames are running ones; looking ahead walks negated time. A
+    partition holds only such rows of one phone and stretch.
     """
     out = _stretched(rows, _second(F.col("u")))
     part = Window.partitionBy("phone", "stretch")
