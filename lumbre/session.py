@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -43,10 +44,18 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests, local mode) a folder of this machine is taken.
+    Where the session names none, a folder of this machine is taken in local mode only; on a cluster a folder
+    on the default filesystem, and an error if that is a local one, as other executors would not see its files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or os.path.join(tempfile.gettempdir(), "lumbre-shared")).rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if re.fullmatch(r"local(\[[^-]*\])?", spark.conf.get("spark.master", "local")):
+        return os.path.join(tempfile.gettempdir(), "lumbre-shared")
+    default = spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:///"
+    if default.startswith("file:"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{default.rstrip('/')}/tmp/lumbre-shared"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
