@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lumbre.llm import query_bpe, query_decontaminate, query_records, query_shards
+from lumbre.llm import query_bpe, query_decontaminate, query_quality, query_records, query_secrets, query_shards
 
-_MODULES = (query_records, query_shards, query_decontaminate, query_bpe)
+_MODULES = (query_quality, query_records, query_secrets, query_shards, query_decontaminate, query_bpe)
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
