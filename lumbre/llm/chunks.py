@@ -2,8 +2,8 @@
 
 A chunk is what stands between single spaces or line breaks; byte-level tokenizers of this kind always begin a new
 piece there, so a text's ids are those of its chunks in a row. Texts with other white space, with runs of it, or
-with a special token are encoded whole. Chunks met before are looked up; the store is emptied when it is full, so
-its memory is bounded.
+with a special token are encoded whole. Chunks met before are looked up; when the store is full, those used least are
+forgotten, so its memory is bounded.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ import numpy as np
 
 Encoded = tuple[np.ndarray, np.ndarray]  # flat ids, number of ids per text
 
-#: Chunks and characters kept.
-KEPT, KEPT_CHARS = 400_000, 16_000_000
+#: Chunks and characters at which the least used half of the store is forgotten.
+KEPT, KEPT_CHARS = 800_000, 24_000_000
 
 _ASCII = np.zeros(256, bool)
 _ASCII[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -62,9 +62,26 @@ class Chunks:
         self.bare, self.spaced = _Numbers(self, ""), _Numbers(self, " ")
         self.counts = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
         self.chars = 0
 
+    def _forget(self) -> None:
+        """Keep the most used half of the chunks, numbered anew."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[: KEPT // 2])
+        keep = keep[np.cumsum(self.counts[keep]) <= KEPT_CHARS // 2]
+        number = np.full(len(self.counts), -1)
+        number[keep] = np.arange(len(keep))
+        size = self.counts[keep]
+        self.flat = self.flat[np.repeat(self.starts[keep] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        self.counts, self.starts, self.uses = size, np.cumsum(size) - size, self.uses[keep] // 2
+        self.chars = 0
+        for table in (self.bare, self.spaced):
+            old = [(k, n) for k, v in table.items() if (n := int(number[v])) >= 0]
+            table.clear()
+            table.update(old)
+            self.chars += sum(len(k) for k, _ in old)
+
     def _codes(self, text: str, codes: array) -> bool:
         """Add the chunk numbers of a text; False, and nothing added, where it must be encoded whole."""
         mark = len(codes)
@@ -85,12 +102,13 @@ class Chunks:
             self.flat = np.concatenate([self.flat, flat])
             self.counts = np.concatenate([self.counts, counts])
             self.starts = np.cumsum(self.counts) - self.counts
+            self.uses = np.concatenate([self.uses, np.zeros(len(counts), np.int64)])
             self.fresh = []
 
     def ids(self, texts: list[str], odd: np.ndarray) -> Iterator[np.ndarray]:
         """The ids of each text in turn. ``odd``: which texts have other white space."""
         if len(self.counts) > KEPT or self.chars > KEPT_CHARS:
-            self._clear()
+            self._forget()
         codes, ends, whole = array("i"), [], []
         for text, strange in zip(texts, odd.tolist(), strict=True):
             if text and (strange or any(s in text for s in self.special) or not self._codes(text, codes)):
@@ -98,6 +116,7 @@ class Chunks:
             ends.append(len(codes))
         self._learn()
         numbers = np.frombuffer(codes, np.int32) if codes else np.zeros(0, np.int32)
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
         flat, counts = self.encode([texts[k] for k in whole]) if whole else (self.flat, np.zeros(0, np.int64))
         stops = np.cumsum(counts)
         apart = {k: flat[stop - n : stop] for k, stop, n in zip(whole, stops.tolist(), counts.tolist(), strict=True)}

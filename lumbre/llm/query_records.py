@@ -15,6 +15,8 @@ from lumbre.session import scratch_path
 from lumbre.sources.tables import scan
 
 END = 0
+#: Chunks that are encoded in one call.
+JOINED = 500
 _CODERS: dict[str, Chunks] = {}
 
 
@@ -26,13 +28,22 @@ def library(source: str) -> Chunks:
 
         tokenizer = Tokenizer.from_str(source)
 
-        def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            counts = np.array([len(x) for x in found], np.int64)
-            return np.fromiter((i for x in found for i in x), np.int32, int(counts.sum())), counts
+        specials = {t.content: number for number, t in tokenizer.get_added_tokens_decoder().items()}
+        mark = next(iter(specials), None)
 
-        special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-        _CODERS[key] = Chunks(encode, special)
+        def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            """Many texts are joined by a special token, at which the library cuts them apart again."""
+            flat, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+            step = JOINED if mark and not any(mark in t for t in texts) else 1
+            for begin in range(0, len(texts), step):
+                joined = mark.join(texts[begin : begin + step]) if step > 1 else texts[begin]
+                ids = np.array(tokenizer.encode(joined, add_special_tokens=False).ids, np.int32)
+                cuts = np.flatnonzero(ids == specials[mark]) if step > 1 else np.zeros(0, np.int64)
+                counts.append(np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - (step > 1 or 0))
+                flat.append(np.delete(ids, cuts))
+            return np.concatenate(flat), np.concatenate(counts)
+
+        _CODERS[key] = Chunks(encode, tuple(specials))
     return _CODERS[key]
 
 
@@ -48,7 +59,7 @@ def op4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         return lambda column: token_ids(column, chunks)
 
     manifest = write(scan(spark, sf_dir, "documents"), scratch_path(spark, "records"), tokenizer, end_id=END)
-    return read(manifest).select("key", "start", "n_tokens", "ids_crc32").withColumnRenamed("key", "doc_id")
+    return read(manifest, with_ids=False).withColumnRenamed("key", "doc_id")
 
 
 SQL: dict[str, str] = {}

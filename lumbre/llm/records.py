@@ -41,6 +41,8 @@ MANIFEST = T.StructType(
 _HEAD, _FRAME, _TAIL = 9, 12, 4
 #: Records that one reading task takes from a file, and bytes it holds at once.
 RECORDS_PER_READ, BYTES_PER_READ = 20_000, 8_000_000
+#: Tasks that read, at most; each takes its ranges one by one.
+READ_TASKS = 20_000
 
 
 class BadRecord(ValueError):
@@ -140,9 +142,11 @@ def placed(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("before", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
-def read(manifest: DataFrame, shuffle_seed: int | None = None) -> DataFrame:
+def read(manifest: DataFrame, shuffle_seed: int | None = None, with_ids: bool = True) -> DataFrame:
     """(key, start, n_tokens, ids_crc32, ids) of every record of the files, checked against the checksums.
 
+    Without ``with_ids`` the ids are read and checked, but the column is left out.
+
     ``start``: ids of all records before it. Files are read in ranges of records, found with the offset index. With
     ``shuffle_seed`` each range is of records in a random order fixed by the seed: every record is read alone.
     """
@@ -151,14 +155,14 @@ def read(manifest: DataFrame, shuffle_seed: int | None = None) -> DataFrame:
     if shuffle_seed is not None:
         reads = reads.orderBy(F.xxhash64("path", "first", F.lit(shuffle_seed)))
     else:
-        reads = reads.repartition("path", "first")
+        reads = reads.repartition(min(READ_TASKS, max(1, reads.count())))
     schema = T.StructType(
         [
             T.StructField("key", T.LongType()),
             T.StructField("start", T.LongType()),
             T.StructField("n_tokens", T.LongType()),
             T.StructField("ids_crc32", T.LongType()),
-            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            *[T.StructField("ids", T.ArrayType(T.IntegerType()))][: int(with_ids)],
         ]
     )
 
@@ -189,14 +193,13 @@ def _range(row: dict, seed: int | None, names: list[str]) -> Iterator[pa.RecordB
             keys, ids = unframe(data, offsets[own[0] : own[-1] + 2] - offsets[own[0]])
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             sums = [zlib.crc32(x.astype("<u4").tobytes()) for x in ids]
-            flat = pa.array(np.concatenate(ids).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.int64()),
-                    pa.array(before[own] + row["before"]),
-                    pa.array(np.diff(ends).astype(np.int64)),
-                    pa.array(sums, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends), flat),
-                ],
-                names,
-            )
+            arrays = [
+                pa.array(keys, pa.int64()),
+                pa.array(before[own] + row["before"]),
+                pa.array(np.diff(ends).astype(np.int64)),
+                pa.array(sums, pa.int64()),
+            ]
+            if "ids" in names:
+                flat = pa.array(np.concatenate(ids).astype(np.int32))
+                arrays.append(pa.ListArray.from_arrays(pa.array(ends), flat))
+            yield pa.RecordBatch.from_arrays(arrays, names)
