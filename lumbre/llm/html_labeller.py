@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumbre.llm.html_blocks import Block, blocks
+from lumbre.llm.samples import bounded_sample
 from lumbre.llm.texts import words
 
 PATH, WORDS, NUMBERS, HIDDEN = 48, 16, 7, 16
@@ -302,8 +303,7 @@ def templates(sentences: Sequence[str], count: int = TEMPLATES, seed: int = 3) -
 def fit(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", rows: int = SAMPLE) -> Labeller:
     """Fit on at most ``rows`` pages, those with the lowest hashes of their ids, and on templates of their sentences."""
     chosen = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    chosen = chosen.orderBy(F.xxhash64("id"), "id", "html").limit(rows)
-    seen = [blocks(r["html"]) for r in chosen.collect()]
+    seen = [blocks(r["html"]) for r in bounded_sample(chosen, "id", rows).collect()]
     sentences = [b.text for page in seen for b in page if 20 <= len(b.text) <= 400][:4000]
     made, labels = templates(sentences)
     known = [(page, y) for page in seen if (y := told(page)) is not None]

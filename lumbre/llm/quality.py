@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumbre.llm.samples import bounded_sample
 from lumbre.llm.texts import slices, utf8
 
 EMBEDDING, WIDTH, STRIDE, FILTERS, HIDDEN, CHUNK = 7, 12, 4, 24, 16, 4096
@@ -205,8 +206,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col="doc_id", text_col="text",
     """Fit on at most ``rows`` of the labelled ids, those with the lowest hashes, half of each class."""
     known = labelled.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropDuplicates(["id"])
-    spread = (F.xxhash64("id"), F.col("id"))
-    halves = [known.where(F.col("label") == k).orderBy(*spread).limit(rows // 2) for k in (0, 1)]
+    halves = [bounded_sample(known.where(F.col("label") == k), "id", rows // 2) for k in (0, 1)]
     chosen = halves[0].unionByName(halves[1])
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     table = text.join(F.broadcast(chosen), "id").toArrow().sort_by("id")

@@ -37,7 +37,8 @@ def library(source: str) -> Chunks:
             step = JOINED if mark and not any(mark in t for t in texts) else 1
             for begin in range(0, len(texts), step):
                 joined = mark.join(texts[begin : begin + step]) if step > 1 else texts[begin]
-                ids = np.array(tokenizer.encode(joined, add_special_tokens=False).ids, np.int32)
+                found = tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
+                ids = np.array(found.ids, np.int32)
                 cuts = np.flatnonzero(ids == specials[mark]) if step > 1 else np.zeros(0, np.int64)
                 counts.append(np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - (step > 1 or 0))
                 flat.append(np.delete(ids, cuts))

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumbre.llm.samples import bounded_sample
+
 #: Fixed patterns: what must be found is given in these terms.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 6
@@ -100,7 +102,7 @@ def samples(docs: DataFrame, text_col: str = "text", rows: int = 2000, id_col: s
     hashes, one of each kind per document; their label is known as they are made so.
     """
     few = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    few = few.orderBy(F.xxhash64("id"), "id").limit(rows)
+    few = bounded_sample(few, "id", rows)
     clean = F.regexp_replace("text", _RUN_OR_ASSIGN, " ")
     words = few.select("id", F.regexp_extract_all(clean, F.lit("[A-Za-z]{2,}"), F.lit(0)).alias("w"))
     joined = F.transform(
