@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # texts of any length: what a task holds at once stays small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 #: Settings that only a new session can take.
