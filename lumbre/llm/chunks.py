@@ -55,9 +55,10 @@ class Chunks:
 
     def __init__(self, encode: Callable[[list[str]], Encoded], special: tuple[str, ...] = ()):
         self.encode, self.special = encode, special
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Forget all chunks, to leave a worker's memory to other work."""
         self.fresh: list[str] = []
         self.bare, self.spaced = _Numbers(self, ""), _Numbers(self, " ")
         self.counts = np.zeros(0, np.int64)

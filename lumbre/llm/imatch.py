@@ -30,6 +30,8 @@ from lumbre.llm.texts import mixed, slices, utf8, words
 #: Share of documents a lexicon term stands in, at least and at most.
 BAND = (0.001, 0.2)
 FAMILIES, LEVELS = 64, 3
+#: Terms that a task holds before it hands their counts on.
+HELD = 2_000_000
 _SEEDS = mixed(np.arange(1, FAMILIES + 1, dtype=np.uint64) << np.uint64(20))
 
 
@@ -46,17 +48,25 @@ def _distinct(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(term, documents) over all rows; terms are 64-bit hashes."""
 
+    def summed(found: list[np.ndarray], times: list[np.ndarray]) -> pa.RecordBatch:
+        terms, place = np.unique(np.concatenate(found), return_inverse=True)
+        counts = np.bincount(place, np.concatenate(times), len(terms)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["term", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray] = []
+        times: list[np.ndarray] = []
         for batch in batches:
             offsets, data = utf8(batch.column(0))
-            found, times = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for i, j in slices(offsets):
                 terms, counts = np.unique(_distinct(*words(offsets[i : j + 1], data))[0], return_counts=True)
                 found.append(terms)
                 times.append(counts)
-            terms, place = np.unique(np.concatenate(found), return_inverse=True)
-            counts = np.bincount(place, np.concatenate(times), len(terms)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["term", "n"])
+            if sum(map(len, found)) > HELD:
+                yield summed(found, times)
+                found, times = [], []
+        if found:
+            yield summed(found, times)
 
     counted = docs.select(F.col(text_col)).mapInArrow(run, "term long, n long")
     return counted.groupBy("term").agg(F.sum("n").alias("documents"))

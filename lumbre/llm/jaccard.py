@@ -139,6 +139,7 @@ def _cells(members: DataFrame) -> DataFrame:
     cell's size is cut into blocks, and every two blocks share a cell."""
     weight = F.sum(F.col("n_shingles") + PER_TEXT)
     blocks = members.groupBy("grp").agg(F.ceil(weight / CELL).cast("int").alias("blocks"))
+    blocks = save_scratch(blocks, "blocks")  # so that the join may split the rows of one group
     placed = members.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return other.select(

@@ -26,8 +26,8 @@ from lumbre.sources.tables import save_scratch
 
 LEAST, ANCHOR = 400, 96
 #: Bytes of pieces in a bucket, about, and of one anchor's pieces from which strings are counted instead.
-BUCKET, HOT = 1_000_000, 8_000_000
-_SLICE = 1_000_000
+BUCKET, HOT = 500_000, 8_000_000
+_SLICE = 500_000
 
 
 def _doc(text: Column) -> Column:
@@ -201,6 +201,7 @@ def marks(docs: DataFrame, text_col: str = "text", least: int = LEAST, anchor: i
     found = save_scratch(_found(docs, text_col, least, anchor), "pieces")
     keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("total"), F.min("content").alias("a"), F.max("content").alias("b"))
     keys = keys.where("total > 1").select("key", F.expr("a <> b").alias("various"))
+    keys = save_scratch(keys, "keys")  # so that the join below may split the rows of one anchor
     shared = save_scratch(found.join(keys, "key"), "shared")
     kinds = shared.where("various").groupBy("key", "content").agg(
         F.count(F.lit(1)).alias("times"), *(F.first(c).alias(c) for c in ("doc", "n", "start", "size"))

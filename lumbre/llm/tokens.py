@@ -18,16 +18,15 @@ from lumbre.llm.texts import slices, utf8
 #: Bytes of text whose new chunks are merged in one index.
 SLICE = 24_000_000
 
-_CODERS: dict[str, tuple[Bpe, Chunks]] = {}
+_CODERS: dict[str, Bpe] = {}
 
 
 def coder(source: str) -> tuple[Bpe, Chunks]:
-    """The vocabulary of a worker process, made once; ``source`` is the text of the tokenizer file."""
+    """The vocabulary, made once per worker process, with a store of chunks for one task; ``source`` is the text of
+    the tokenizer file."""
     key = hashlib.md5(source.encode()).hexdigest()
-    if key not in _CODERS:
-        bpe = Bpe(source)
-        _CODERS[key] = bpe, Chunks(bpe.encode, tuple(bpe.specials))
-    return _CODERS[key]
+    bpe = _CODERS[key] = _CODERS.get(key) or Bpe(source)
+    return bpe, Chunks(bpe.encode, tuple(bpe.specials))
 
 
 def token_ids(column: pa.Array, chunks: Chunks, limit: int = SLICE) -> Iterator[np.ndarray]:
@@ -43,8 +42,9 @@ def encode(df: DataFrame, source: str, id_col: str = "doc_id", text_col: str = "
     schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks = coder(source)[1]
         for batch in batches:
-            ids = [x.astype(np.int32) for x in token_ids(batch.column(1), coder(source)[1])]
+            ids = [x.astype(np.int32) for x in token_ids(batch.column(1), chunks)]
             ends = np.cumsum([0, *map(len, ids)])
             for i, j in slices(ends, SLICE):
                 flat = np.concatenate(ids[i:j])
@@ -59,8 +59,9 @@ def decode(df: DataFrame, source: str, id_col: str = "id", ids_col: str = "ids")
     schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = coder(source)[0]
         for batch in batches:
-            bpe, lists = coder(source)[0], batch.column(1)
+            lists = batch.column(1)
             texts = [bpe.decode(x.values.to_numpy()).decode() if x.is_valid else None for x in lists]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], schema.names)
 
@@ -79,8 +80,8 @@ def digests(df: DataFrame, source: str, id_col: str = "doc_id", text_col: str =
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, chunks = coder(source)
         for batch in batches:
-            bpe, chunks = coder(source)
             counts, one, two = [], [], []
             for ids in token_ids(batch.column(1), chunks):
                 counts.append(len(ids))
