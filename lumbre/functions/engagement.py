@@ -51,6 +51,11 @@ def label(c: Column, s: Column) -> Column:
     return F.when(liked & ~saved, -1).when(~liked & ~saved, 0).when(~liked & saved, 1).otherwise(2)
 
 
+#: The same rule in SQL text over ``c`` and ``s``, made from the constants.
+LABEL_SQL = f"""CASE WHEN s IS NULL OR c IS NULL THEN 2
+  ELSE element_at(array(0, -1, 1, 2), 1 + int(s >= {SATISFACTION_SPLIT}) + 2 * int(c >= {COMMITMENT_SPLIT})) END"""
+
+
 def label_class(value: Column) -> Column:
     """Class number 0..3 of a label; NULL for anything else."""
     pairs = [F.lit(x) for item in LABEL_CLASSES.items() for x in item]
@@ -67,10 +72,10 @@ def xps_norm(xps: Column) -> Column:
 
 
 def z_score(x: Column, mean: float | Column, std: float | Column) -> Column:
-    """NULL where the spread is 0."""
+    """0 for every value where there is no spread; a missing value stays missing."""
     mean = mean if isinstance(mean, Column) else F.lit(mean)
     std = std if isinstance(std, Column) else F.lit(std)
-    return F.try_divide(x - mean, std)
+    return F.when(std > 0, F.try_divide(x - mean, std)).when(x.isNotNull(), F.lit(0.0))
 
 
 def distance(lon: Column, lat: Column, centre: tuple[float, float]) -> Column:

@@ -59,24 +59,67 @@ def unique(df: DataFrame, table: str, column: str) -> DataFrame:
     return unique_not_null(df, table, (column,), "unique not null")
 
 
-def foreign_key(child: DataFrame, table: str, column: str, parent: DataFrame, parent_table: str, key: str) -> DataFrame:
+@dataclass(frozen=True)
+class Reference:
+    """A foreign key between two of the tables under audit."""
+
+    table: str
+    column: str
+    parent: str
+    key: str
+
+    @property
+    def constraint(self) -> str:
+        return f"foreign key({self.column})->{self.parent}({self.key})"
+
+
+def references(tables: dict[str, DataFrame], keys: list[Reference]) -> DataFrame:
     """Values without a parent row, with their number of rows; NULL is allowed.
 
-    The child is counted per value first, so a value held by very many rows is one row in the join.
+    Every table is read once, whatever number of constraints it takes part in: its values go out under the parent
+    keys they are or should be, are counted per value before anything meets, and a value is dangling if no row of the
+    parent came along with it.
     """
-    used = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_k")).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(key).alias("_k")).distinct()
-    dangling = used.join(known, "_k", "left_anti")
-    return _line(dangling, table, f"foreign key({column})->{parent_table}({key})", F.col("_k").cast("string"), F.col("n"))
+    parts = []
+    for name in dict.fromkeys(n for k in keys for n in (k.table, k.parent)):
+        cells = [(f"{k.parent}.{k.key}", k.table, k.constraint, k.column) for k in keys if k.table == name]
+        owned = dict.fromkeys(k.key for k in keys if k.parent == name)
+        cells += [(f"{name}.{key}", None, None, key) for key in owned]
+        rows = F.array(
+            *[
+                F.struct(
+                    F.lit(target).alias("target"),
+                    F.lit(table).cast("string").alias("table"),
+                    F.lit(constraint).cast("string").alias("constraint"),
+                    F.col(column).cast("string").alias("value"),
+                )
+                for target, table, constraint, column in cells
+            ]
+        )
+        parts.append(tables[name].select(F.inline(rows)).where("value is not null"))
+    counted = union_all(parts).groupBy("target", "value", "table", "constraint").agg(F.count(F.lit(1)).alias("n"))
+    met = counted.groupBy("target", "value").agg(
+        F.max(F.col("table").isNull()).alias("known"),
+        F.collect_list(F.when(F.col("table").isNotNull(), F.struct("table", "constraint", "n"))).alias("uses"),
+    )
+    return met.where("not known").select(F.inline("uses"), "value").select("table", "constraint", F.col("value").alias("key"), "n")
 
 
-def max_length(df: DataFrame, table: str, column: str, limit: int) -> DataFrame:
+def bad_values(df: DataFrame, table: str, checks: list[tuple[str, Column, Column]]) -> DataFrame:
+    """Rows (constraint, key, whether it is violated) of all checks of a table, counted in one scan."""
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("constraint"), key.cast("string").alias("key"), bad.alias("bad")) for c, key, bad in checks]
+    )
+    found = df.select(F.inline(cells)).where("bad").groupBy("constraint", "key").agg(F.count(F.lit(1)).alias("n"))
+    return found.select(F.lit(table).alias("table"), "constraint", "key", "n")
+
+
+def too_long(column: str, limit: int) -> tuple[str, Column, Column]:
     """Texts longer than declared, counted per length."""
-    bad = df.where(F.length(column) > limit).groupBy(F.length(column).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    return _line(bad, table, f"varchar({limit}) {column}", F.col("k").cast("string"), F.col("n"))
+    return f"varchar({limit}) {column}", F.length(column), F.length(column) > limit
 
 
-def castable(df: DataFrame, table: str, column: str, to: T.DataType) -> DataFrame:
+def not_castable(column: str, to: T.DataType) -> tuple[str, Column, Column]:
     """Values a declared type cannot hold. A decimal must also keep every digit."""
     value = F.col(column)
     made = value.try_cast(to)
@@ -84,8 +127,7 @@ def castable(df: DataFrame, table: str, column: str, to: T.DataType) -> DataFram
     if isinstance(to, T.DecimalType):
         wide = value.try_cast(T.DecimalType(38, 18))
         bad = bad | wide.isNull() | (made.cast(T.DecimalType(38, 18)) != wide)
-    wrong = df.where(value.isNotNull() & bad).groupBy(value.cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    return _line(wrong, table, f"{to.simpleString()} {column}", F.col("k"), F.col("n"))
+    return f"{to.simpleString()} {column}", value, value.isNotNull() & bad
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
@@ -93,9 +135,11 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 
 def audit_foreign_keys(tables: dict[str, DataFrame], specs: list[Table]) -> DataFrame:
-    return union_all(
-        [foreign_key(tables[s.name], s.name, fk.column, tables[fk.table], fk.table, fk.key) for s in specs for fk in s.foreign_keys]
-    )
+    return references(tables, declared_references(specs))
+
+
+def declared_references(specs: list[Table]) -> list[Reference]:
+    return [Reference(s.name, fk.column, fk.table, fk.key) for s in specs for fk in s.foreign_keys]
 
 
 def audit_primary_keys(tables: dict[str, DataFrame], specs: list[Table]) -> DataFrame:
@@ -107,14 +151,14 @@ def audit_unique(tables: dict[str, DataFrame], specs: list[Table]) -> DataFrame:
 
 
 def audit_lengths(tables: dict[str, DataFrame], specs: list[Table]) -> DataFrame:
-    return union_all([max_length(tables[s.name], s.name, c, n) for s in specs for c, n in s.max_length.items()])
+    checks = {s.name: [too_long(c, n) for c, n in s.max_length.items()] for s in specs}
+    return union_all([bad_values(tables[name], name, own) for name, own in checks.items() if own])
 
 
 def audit_types(tables: dict[str, DataFrame], specs: list[Table], *kinds: type[T.DataType]) -> DataFrame:
     """Text columns that cannot take their declared type, for the given kinds of type."""
-    return union_all(
-        [castable(tables[s.name], s.name, c, t) for s in specs for c, t in s.columns.items() if isinstance(t, kinds)]
-    )
+    checks = {s.name: [not_castable(c, t) for c, t in s.columns.items() if isinstance(t, kinds)] for s in specs}
+    return union_all([bad_values(tables[name], name, own) for name, own in checks.items() if own])
 
 
 def audit_all(tables: dict[str, DataFrame], specs: list[Table]) -> DataFrame:

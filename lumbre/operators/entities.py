@@ -75,5 +75,11 @@ def merge_duplicates(df: DataFrame, key: str, order: str, unions: str, means: li
 
 
 def parse_sets(df: DataFrame, *columns: str) -> DataFrame:
-    """Literal text columns as sets."""
-    return df.withColumns({c: sets.to_set(sets.parse_list_literal(F.col(c))) for c in columns})
+    """Text columns as sets: the members of a list or set literal; text that is neither is one member."""
+
+    def parsed(text: Column) -> Column:
+        return F.when(text.isNull(), sets.to_set(F.array())).otherwise(
+            sets.to_set(F.coalesce(sets.parse_list_literal(text), F.array(text)))
+        )
+
+    return df.withColumns({c: parsed(F.col(c)) for c in columns})

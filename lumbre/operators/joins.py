@@ -12,35 +12,27 @@ from pyspark.sql import types as T
 HOT_SHARE = 0.001
 #: ... and more than this many rows; below it one task copes and no salting is wanted.
 HOT_ROWS = 1_000_000
-#: A side planned smaller than this could be one task altogether; no key of it needs cutting up.
-ONE_TASK_BYTES = 128 << 20
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate (file sizes and up); runs nothing."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
     """Keys that dominate ``df`` with the number of parts to cut each into.
 
-    One pass with a mergeable top-k sketch, so nothing is shuffled by key. The result has at most
-    ``1 / share`` rows whatever the size of ``df``. A key the sketch misses is merely not salted.
+    A mergeable top-k sketch over hashes of the keys names at most ``1 / share`` candidates whatever the size of
+    ``df``; only their rows are counted, under their own types, so every key listed here is in ``df``. A key the
+    sketch misses is merely not salted.
     """
     limit = int(1 / share)
-    schema = T.StructType([df.schema[k] for k in keys])
-    top = df.dropna(subset=keys).select(F.to_json(F.struct(*keys)).alias("k")).agg(
-        F.expr(f"approx_top_k(k, {limit}, {limit * 20})").alias("top"), F.count(F.lit(1)).alias("total")
-    )
+    hashed = df.dropna(subset=keys).select(*keys, F.xxhash64(*keys).alias("_hash"))
+    top = hashed.agg(F.expr(f"approx_top_k(_hash, {limit}, {limit * 20})").alias("top"), F.count(F.lit(1)).alias("total"))
     floor = F.greatest(F.col("total") * F.lit(share), F.lit(float(min_rows)))
+    likely = top.select(F.explode("top").alias("t"), floor.alias("_floor")).where(F.col("t.count") > F.col("_floor"))
+    likely = F.broadcast(likely.select(F.col("t.item").alias("_hash"), "_floor"))
     return (
-        top.select(F.explode("top").alias("t"), floor.alias("floor"))
-        .where(F.col("t.count") > F.col("floor"))
-        .select(
-            F.from_json("t.item", schema).alias("k"),
-            F.ceil(F.col("t.count") / F.col("floor")).cast("int").alias("_parts"),
-        )
-        .select("k.*", "_parts")
+        hashed.join(likely, "_hash")
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.max("_floor").alias("_floor"))
+        .where(F.col("_n") > F.col("_floor"))
+        .select(*keys, F.ceil(F.col("_n") / F.col("_floor")).cast("int").alias("_parts"))
     )
 
 
@@ -48,21 +40,19 @@ def left_join(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
-    salt: bool | None = None,
+    salt: bool = False,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left outer equi-join whose right side may be dominated by a few keys.
 
     Spark's adaptive skew join can cut the preserved (left) side of an outer join but never the
-    other one. Rows of hot right keys are therefore spread over parts by a hash of the row, and left
-    rows with such a key are repeated once per part. A hot key has matches by definition, so a
+    other one. With ``salt`` the rows of hot right keys are therefore spread over parts by a hash of the row, and
+    left rows with such a key are repeated once per part. A hot key has matches by definition, so a
     repeated left row that finds none in its part is dropped, which keeps the result exact.
 
-    With ``salt=None`` this is done if the right side is planned too large for a single task.
+    Whether to salt is the caller's choice: it costs a pass over the right side, and both ways give the same rows.
     """
-    if salt is None:
-        salt = planned_bytes(right) > ONE_TASK_BYTES
     if not salt:
         return left.join(right, keys, "left")
     hot = F.broadcast(hot_keys(right, keys, share, min_rows))

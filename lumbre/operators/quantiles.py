@@ -1,9 +1,8 @@
 """Exact quantiles that never bring a large column's values together in one task.
 
-Spark's ``percentile`` keeps every distinct value of a group in one task, which is fine for a frame
-that would fit one task as a whole. Beyond that, values are counted into cells instead, the few cells
-holding the wanted ranks are split finer, and only the rows of a finest cell are ranked one by one.
-Each level is one scan with a bounded, map-side combined count.
+Spark's ``percentile`` keeps every distinct value of a group in one task. Here values are counted into cells
+instead, the few cells holding the wanted ranks are split finer, and only the rows of a finest cell are ranked one
+by one. Each level is one scan with a bounded, map-side combined count. It is the same way at every size.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbre.operators.joins import ONE_TASK_BYTES, planned_bytes
 from lumbre.sources.tables import save_scratch
 
 _COARSE = 1024
@@ -31,7 +29,8 @@ def melt(df: DataFrame, columns: list[str], by: list[str] | None = None) -> Data
 
 
 def _coarse_cell(value: Column) -> Column:
-    """Monotone cell number; at most 1.5 million over all doubles, about 0.1 % wide each."""
+    """Monotone cell number; at most 1.5 million over all doubles, about 0.1 % wide each. Each infinity has a cell
+    of its own, so it is never split further."""
     scaled = F.signum(value) * F.log1p(F.abs(value)) * _COARSE
     return F.floor(F.greatest(F.least(scaled, F.lit(1e6)), F.lit(-1e6))).cast("int")
 
@@ -93,35 +92,12 @@ def _settle(found: DataFrame, grouped: bool) -> DataFrame:
     return found.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
-def exact(
-    df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None, cells: bool | None = None
-) -> DataFrame:
+def exact(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None) -> DataFrame:
     """Linearly interpolated quantiles: (by ..., column, p, value). Missing values are left out.
 
-    ``cells`` chooses the way; by default it is taken for frames planned too large for one task.
+    Runs at once, in one to three passes over the columns; a pass is skipped once every wanted rank
+    lies in a cell of equal values.
     """
-    if cells is None:
-        cells = planned_bytes(df.select(*(by or []), *columns)) > ONE_TASK_BYTES
-    return _by_cells(df, columns, probs, by) if cells else _by_percentile(df, columns, probs, by)
-
-
-def _by_percentile(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None) -> DataFrame:
-    by = by or []
-    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
-    found = df.groupBy(*by).agg(*[F.percentile(v, [float(p) for p in probs]).alias(c) for c, v in value.items()])
-    each = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"), F.col(c)[i].alias("value"))
-            for c in columns
-            for i, p in enumerate(probs)
-        ]
-    )
-    return found.select(*by, F.explode(each).alias("x")).select(*by, "x.*").where("value is not null")
-
-
-def _by_cells(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None) -> DataFrame:
-    """Runs at once, in one to three passes over the columns; a pass is skipped once every wanted rank
-    lies in a cell of equal values."""
     by = by or []
     group = [*by, "column"]
     tag = ["p", "side", "part"]
@@ -154,10 +130,16 @@ def _by_cells(df: DataFrame, columns: list[str], probs: list[float], by: list[st
             F.max(F.when(F.col("side") == 0, F.col("value"))).alias("below"),
             F.max(F.when(F.col("side") == 1, F.col("value"))).alias("above"),
         )
-        .select(*group, "p", (F.col("below") + (F.col("above") - F.col("below")) * F.col("part")).alias("value"))
+        .select(*group, "p", _between(F.col("below"), F.col("above"), F.col("part")).alias("value"))
     )
 
 
+def _between(below: Column, above: Column, part: Column) -> Column:
+    """The value ``part`` of the way up; an infinite end is not mixed in where it has no share."""
+    mixed = below * (1 - part) + above * part
+    return F.when((below == above) | (part == 0), below).otherwise(mixed)
+
+
 def _meet(rows: DataFrame, cells: DataFrame, keys: list[str], grouped: bool) -> DataFrame:
     """Rows in the wanted cells. Without groups there are at most two cells per column and quantile,
     so they are broadcast; with groups their number grows with the data and the planner decides."""

@@ -48,7 +48,7 @@ def detail(
     calls: DataFrame,
     modules: DataFrame,
     steps: DataFrame,
-    salt: bool | None = None,
+    salt: bool = False,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -117,6 +117,17 @@ def known_documents(detail: DataFrame) -> DataFrame:
     )
 
 
+def with_document(detail: DataFrame) -> DataFrame:
+    """Every row with the latest known document of its call, NULL where there is none; one pass and one shuffle.
+
+    The maximum is a window aggregate over the rows of one call. Rows without an id are spread by their start.
+    """
+    doc = _latest_document().over(Window.partitionBy("calls_ivr_id", _spread()))
+    found = detail.withColumn("_doc", F.when(F.col("calls_ivr_id").isNotNull(), doc))
+    names = ("document_identification", "document_type")
+    return found.withColumns({n: F.col("_doc")[n] for n in names}).drop("_doc")
+
+
 def document_known_row(detail: DataFrame) -> DataFrame:
     """Latest known document of every call, DESCONOCIDO where there is none.
 
@@ -127,6 +138,11 @@ def document_known_row(detail: DataFrame) -> DataFrame:
     return found.select("calls_ivr_id", *_document_columns(F.col("doc")))
 
 
+def _spread() -> Column:
+    """A second key for rows without an id, so that they do not all meet in one task."""
+    return F.when(F.col("calls_ivr_id").isNull(), F.xxhash64("calls_phone_number", "calls_start_date"))
+
+
 def _latest_document() -> Column:
     row = F.struct("module_sequece", "step_sequence", "document_identification", "document_type")
     return F.max(F.when(C.document_known(F.col("document_identification")), row))
@@ -202,9 +218,9 @@ def attach_recall(calls: DataFrame, starts: DataFrame) -> DataFrame:
     second; a hot pair of them is on the side that adaptive execution can split.
 
     A call must not match another row of its own id. An id with a single start cannot, as a start is
-    never a second away from itself. Whether any id has several starts is looked up first; if so,
-    those are compared with single-start ids through summary columns of their own, and with each
-    other by ``_among_several``.
+    never a second away from itself. Ids with several starts are compared with single-start ids through summary
+    columns of their own, and with each other by ``_among_several``; where there are none, adaptive execution drops
+    these branches. Nothing runs while the plan is made.
     """
     usable = starts.where("ivr_id is not null and phone is not null and u is not null")
     several = (
@@ -213,11 +229,6 @@ def attach_recall(calls: DataFrame, starts: DataFrame) -> DataFrame:
         .where("first <> last")
         .select("ivr_id", F.lit(True).alias("several"))
     )
-    if several.isEmpty():
-        near = _with_neighbours(_per_second(usable, {"": F.col("u")}))
-        before, after = _reached("")
-        return _join_near(calls, near).withColumns(_flag_columns(before, after)).drop("sec", *near.columns[2:])
-
     marked = usable.join(several, "ivr_id", "left")
     single = F.when(F.col("several").isNull(), F.col("u"))
     near = _with_neighbours(_per_second(marked, {"": F.col("u"), "1": single}))
@@ -325,10 +336,10 @@ def _among_several(rows: DataFrame) -> DataFrame:
 
 
 def recall_24h(detail: DataFrame) -> DataFrame:
-    """Both recall flags per call id, 0 for calls that match nothing."""
-    # Where the detail is a plan of joins, only its call table is read: steps do not matter here.
-    starts = _call_starts(detail)
-    flagged = attach_recall(starts.distinct(), starts)
+    """Both recall flags per call id, 0 for calls that match nothing. Of the detail only the call columns are used;
+    where it is a plan of joins, give the call table itself (``prefix_calls``)."""
+    starts = _call_starts(detail).distinct()
+    flagged = attach_recall(starts, starts)
     return flagged.groupBy(F.col("ivr_id").alias("calls_ivr_id")).agg(
         F.max("repeated_phone_24H").alias("repeated_phone_24H"),
         F.max("cause_recall_phone_24H").alias("cause_recall_phone_24H"),
@@ -352,32 +363,36 @@ SUMMARY_KEYS = (
 )
 
 
-def summary(detail: DataFrame) -> DataFrame:
+def summary(detail: DataFrame, calls: DataFrame | None = None) -> DataFrame:
     """One row per call with every derived field.
 
-    All fields but the recall come from a single aggregation, combined before its shuffle. The
-    document belongs to the call id, so it is lifted to the id over the (already small) groups.
-    Recall neighbours are worked out on three slim columns and joined at call level, never at step level.
+    All step fields come from one aggregation by the id of the call, combined before its shuffle; the modules and
+    steps of an id belong to all rows of that id. The call's own columns ride along as a set, which has one member
+    unless an id stands for several calls. Recall neighbours are worked out on three slim columns and joined at call
+    level, never at step level; they are taken from ``calls`` (the call table) if given, so that the joins of a
+    detail that is still a plan run once.
     """
-    groups = (
-        detail.withColumn("vdn_aggregation", C.vdn_aggregation(F.col("calls_vdn_label")))
-        .groupBy(*SUMMARY_KEYS)
+    by_id = (
+        detail.withColumns({"vdn_aggregation": C.vdn_aggregation(F.col("calls_vdn_label")), "_spread": _spread()})
+        .groupBy("calls_ivr_id", "_spread")
         .agg(
+            F.collect_set(F.struct(*SUMMARY_KEYS[1:])).alias("_call"),
             _latest_document().alias("doc"),
             C.best_known_text(F.col("customer_phone")).alias("customer_phone"),
             C.best_known_text(F.col("billing_account_id")).alias("billing_account_id"),
             *[expr.alias(name) for name, expr in _flags().items()],
         )
-        .withColumn("doc", F.max("doc").over(Window.partitionBy("calls_ivr_id")))
     )
-    calls = groups.withColumns(
+    starts = _call_starts(detail if calls is None else prefix_calls(calls)).distinct()
+    rows = by_id.select("*", F.inline("_call")).drop("_call", "_spread")
+    rows = rows.withColumns(
         {
             "ivr_id": F.col("calls_ivr_id"),
             "phone": F.nullif("calls_phone_number", F.lit(C.UNKNOWN)),
             "u": F.unix_micros("calls_start_date"),
         }
     )
-    return attach_recall(calls, _call_starts(detail)).select(
+    return attach_recall(rows, starts).select(
         *SUMMARY_KEYS,
         *_document_columns(F.col("doc")),
         "customer_phone",

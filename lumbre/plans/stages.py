@@ -50,7 +50,7 @@ def prepare(engaged: DataFrame, folder: str) -> Prepared:
 
 def assemble(prepared: Prepared, folder: str, vectors: DataFrame | None = None) -> Prepared:
     """Feature vectors of 28 columns, or of these and the image vectors."""
-    made = models.assemble(prepared.rows, poi.FEATURES, vectors).select("id", "features", "E", "engagement_label", "split")
+    made = models.assemble(prepared.rows, poi.FEATURES, vectors, zeros=True).select("id", "features", "E", "engagement_label", "split")
     return Prepared(save(made, f"{folder}/assembled"), prepared.stats, prepared.clusters)
 
 
@@ -60,10 +60,20 @@ def evaluate_regression(assembled: Prepared) -> DataFrame:
     return metrics.regression_metrics(model.transform(assembled.part("test")), "E", "prediction")
 
 
-def evaluate_classification(assembled: Prepared) -> DataFrame:
-    """Test report of boosted trees for the engagement label."""
+def classified(assembled: Prepared) -> DataFrame:
+    """Truth ``t`` and prediction ``p`` of boosted trees for the engagement label on the test rows."""
     model = models.fit_classifier(assembled.part("train"))
-    scored = model.transform(assembled.part("test")).select(
+    return model.transform(assembled.part("test")).select(
         E.label_class(F.col("engagement_label")).alias("t"), F.col("prediction").cast("int").alias("p")
     )
-    return metrics.classification_report(scored, "t", "p")
+
+
+def evaluate_classification(assembled: Prepared) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Test report, accuracy and confusion matrix of boosted trees for the engagement label."""
+    scored = classified(assembled).persist()
+    classes = list(E.LABEL_CLASSES.values())
+    return (
+        metrics.classification_report(scored, "t", "p"),
+        metrics.accuracy(scored, "t", "p"),
+        metrics.confusion_matrix(scored, "t", "p", classes),
+    )

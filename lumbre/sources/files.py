@@ -29,23 +29,27 @@ POI_SCHEMA = T.StructType(
     ]
 )
 
-_QUOTING = {"header": "true", "quote": '"', "escape": '"'}
+_QUOTING = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
-    """CSV with a header under a given schema.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """CSV with a header under a given schema; quoted texts may hold line breaks.
 
-    ``multi_line`` is needed only if quoted texts hold line breaks: such files cannot be split, so
-    each is read by one task.
+    Files that may hold them cannot be split, so each is read by one task; ``write_csv`` writes many small ones.
+    ``multi_line=False`` is for large files known to have no such breaks.
     """
     return prepare(spark).read.schema(schema).options(**_QUOTING, multiLine=str(multi_line).lower()).csv(path)
 
 
+#: Rows per file at most.
+ROWS_PER_FILE = 200_000
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; array columns become list literals."""
+    """CSV with a header; array columns become list literals. Each task writes files of bounded length."""
     arrays = {f.name: sets.literal(F.col(f.name)) for f in df.schema if isinstance(f.dataType, T.ArrayType)}
     out = df.withColumns(arrays) if arrays else df
-    out.write.mode("overwrite").options(**_QUOTING).csv(path)
+    out.write.mode("overwrite").options(**_QUOTING).option("maxRecordsPerFile", ROWS_PER_FILE).csv(path)
 
 
 def read_images(spark: SparkSession, folder: str) -> DataFrame:

@@ -205,12 +205,11 @@ _GIVEN_KEYS = [
     ),
 )
 def audit_foreign_key(spark: SparkSession, folder: str) -> DataFrame:
-    parts = [audit.audit_foreign_keys(typed_rows(spark, folder), ACADEMY)]
-    for child, column, parent, key in _GIVEN_KEYS:
-        parts.append(audit.foreign_key(scan(spark, folder, child), child, column, scan(spark, folder, parent), parent, key))
-    steps, calls = ivr_steps(spark, folder), ivr_calls(spark, folder)
-    parts.append(audit.foreign_key(steps, "ivr_steps", "ivr_id", calls, "ivr_calls", "ivr_id"))
-    return audit.union_all(parts)
+    keys = [audit.Reference(*given) for given in _GIVEN_KEYS]
+    tables = {name: scan(spark, folder, name) for k in keys for name in (k.table, k.parent)}
+    tables |= {"ivr_steps": ivr_steps(spark, folder), "ivr_calls": ivr_calls(spark, folder)}
+    keys.append(audit.Reference("ivr_steps", "ivr_id", "ivr_calls", "ivr_id"))
+    return audit.references({**tables, **typed_rows(spark, folder)}, [*keys, *audit.declared_references(ACADEMY)])
 
 
 @case(

@@ -18,24 +18,32 @@ DETAIL_SQL = with_tables("SELECT * FROM ivr_detail", "ivr_detail")
 VDN_CASE = """CASE WHEN left({c}, 3) = 'ATC' THEN 'FRONT' WHEN left({c}, 4) = 'TECH' THEN 'TECH'
                   WHEN {c} = 'ABSORPTION' THEN 'ABSORPTION' ELSE 'RESTO' END"""
 
-#: Call-level rows are enough for the flags: joining detail rows instead only repeats pairs.
-RECALL_SQL = """
-SELECT a.calls_ivr_id,
-       max(CASE WHEN date_sub('second', b.calls_start_date, a.calls_start_date) BETWEEN 1 AND 24*60*60
-                THEN 1 ELSE 0 END) AS "repeated_phone_24H",
-       max(CASE WHEN date_sub('second', b.calls_start_date, a.calls_start_date) BETWEEN -24*60*60 AND -1
-                THEN 1 ELSE 0 END) AS "cause_recall_phone_24H"
-FROM one a LEFT JOIN one b ON a.calls_phone_number <> 'UNKNOWN'
-     AND a.calls_phone_number = b.calls_phone_number AND a.calls_ivr_id <> b.calls_ivr_id
-GROUP BY a.calls_ivr_id"""
+_REACH = "epoch_us({a}.calls_start_date) - epoch_us({b}.calls_start_date) BETWEEN 1000000 AND 86400999999"
+
+
+def _neighbour(later: str, earlier: str) -> str:
+    """Whether any other call of the same phone began from one second to a day earlier, in microseconds."""
+    return f"""CAST(bool_or(EXISTS (FROM one o WHERE o.calls_phone_number = c.calls_phone_number
+      AND o.calls_ivr_id <> c.calls_ivr_id AND c.calls_phone_number <> 'UNKNOWN'
+      AND {_REACH.format(a=later, b=earlier)})) AS INTEGER)"""
+
+
+RECALL_SQL = f"""
+SELECT calls_ivr_id, coalesce({_neighbour("c", "o")}, 0) AS "repeated_phone_24H",
+       coalesce({_neighbour("o", "c")}, 0) AS "cause_recall_phone_24H"
+FROM one c GROUP BY calls_ivr_id"""
 ONE = "one AS (SELECT DISTINCT calls_ivr_id, calls_phone_number, calls_start_date FROM ivr_detail)"
 
+#: The document of the greatest (module, step) among those that are known.
+LAST_DOCUMENT = """documentation AS (
+  SELECT calls_ivr_id, last.document_identification AS document_identification, last.document_type AS document_type
+  FROM (SELECT calls_ivr_id,
+               arg_max({'document_identification': document_identification, 'document_type': document_type},
+                       (module_sequece, step_sequence)) AS last
+        FROM ivr_detail WHERE NOT list_contains(['UNKNOWN', 'DESCONOCIDO'], document_identification) GROUP BY ALL))"""
+
 SUMMARY_SQL = with_tables(
-    f"""WITH documentation AS (
-  SELECT calls_ivr_id, document_identification, document_type FROM ivr_detail
-  WHERE document_identification NOT IN ('UNKNOWN', 'DESCONOCIDO')
-  QUALIFY row_number() OVER (PARTITION BY calls_ivr_id ORDER BY module_sequece DESC NULLS LAST,
-                             step_sequence DESC NULLS LAST) = 1),
+    f"""WITH {LAST_DOCUMENT},
 {ONE},
 recall AS ({RECALL_SQL}),
 grouped AS (
@@ -83,7 +91,7 @@ def sink_ctas_detail(spark: SparkSession, folder: str) -> DataFrame:
 @case("sink_ctas_summary", SUMMARY_SQL)
 def sink_ctas_summary(spark: SparkSession, folder: str) -> DataFrame:
     saved = save_scratch(ivr_detail(spark, folder), "ivr_detail")
-    return save_scratch(ivr.summary(saved), "ivr_summary")
+    return save_scratch(ivr.summary(saved, ivr_calls(spark, folder)), "ivr_summary")
 
 
 @case(
@@ -137,21 +145,18 @@ def join_left_composite(spark: SparkSession, folder: str) -> DataFrame:
 @case(
     "join_cast_key",
     with_tables(
-        """WITH documentation AS (
-             SELECT CAST(calls_ivr_id AS VARCHAR) AS ivr_id, document_identification, document_type FROM ivr_detail
-             WHERE document_identification NOT IN ('UNKNOWN', 'DESCONOCIDO')
-             QUALIFY row_number() OVER (PARTITION BY calls_ivr_id ORDER BY module_sequece DESC NULLS LAST,
-                                        step_sequence DESC NULLS LAST) = 1)
+        f"""WITH {LAST_DOCUMENT}
            SELECT c.calls_ivr_id, c.module_sequece, c.step_sequence, d.document_type, d.document_identification
-           FROM ivr_detail c LEFT JOIN documentation d ON CAST(c.calls_ivr_id AS VARCHAR) = d.ivr_id""",
+           FROM ivr_detail c LEFT JOIN documentation d ON CAST(c.calls_ivr_id AS VARCHAR) = CAST(d.calls_ivr_id AS VARCHAR)""",
         "ivr_detail",
     ),
 )
 def join_cast_key(spark: SparkSession, folder: str) -> DataFrame:
-    # The key is one and the same column on both sides, so it is compared without the text cast.
-    rows = ivr_detail(spark, folder)
-    documents = ivr.known_documents(rows)
-    return rows.select("calls_ivr_id", "module_sequece", "step_sequence").join(documents, "calls_ivr_id", "left")
+    # The key is one and the same column on both sides, so it is compared without the text cast; the detail is
+    # built once, and its documents are spread over the rows of their call.
+    return ivr.with_document(ivr_detail(spark, folder)).select(
+        "calls_ivr_id", "module_sequece", "step_sequence", "document_type", "document_identification"
+    )
 
 
 @case("join_self_recall", with_tables(f"WITH {ONE}\n{RECALL_SQL}", "ivr_detail"))
@@ -229,11 +234,7 @@ def document_best_row(spark: SparkSession, folder: str) -> DataFrame:
 @case(
     "document_known_row",
     with_tables(
-        """WITH documentation AS (
-             SELECT calls_ivr_id, document_identification, document_type FROM ivr_detail
-             WHERE document_identification NOT IN ('UNKNOWN', 'DESCONOCIDO')
-             QUALIFY row_number() OVER (PARTITION BY calls_ivr_id ORDER BY module_sequece DESC NULLS LAST,
-                                        step_sequence DESC NULLS LAST) = 1),
+        f"""WITH {LAST_DOCUMENT},
            calls AS (SELECT DISTINCT calls_ivr_id FROM ivr_detail)
            SELECT c.calls_ivr_id, coalesce(d.document_type, 'DESCONOCIDO') AS document_type,
                   coalesce(d.document_identification, 'DESCONOCIDO') AS document_identification
@@ -321,7 +322,7 @@ def groupby_computed_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 @case("ivr_summary", SUMMARY_SQL)
 def ivr_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return ivr.summary(ivr_detail(spark, folder))
+    return ivr.summary(ivr_detail(spark, folder), ivr_calls(spark, folder))
 
 
 # ---------------------------------------------------------------- scalar functions

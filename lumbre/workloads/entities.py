@@ -204,22 +204,25 @@ def merge_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @case(
     "merge_left_update",
     with_tables(
-        f"""WITH agg AS (SELECT id, {", ".join(f'avg("{m}") AS "{m}"' for m in plan.METRICS)}
+        f"""WITH agg AS (SELECT id, list_sort(list_distinct(flatten(list(tags)))) AS tags,
+                                {", ".join(f'avg("{m}") AS "{m}"' for m in plan.METRICS)}
                          FROM poi_rows GROUP BY id HAVING count(*) > 1)
-            SELECT p.id, p.ord, {", ".join(
+            SELECT p.id, p.ord, array_to_string(coalesce(agg.tags, p.tags), ',') AS tags, {", ".join(
                 f'coalesce(CAST(round_even(agg."{m}", 0) AS BIGINT), p."{m}") AS "{m}"' for m in plan.METRICS)}
             FROM poi_rows p LEFT JOIN agg ON p.id = agg.id""",
         "poi_rows",
     ),
 )
 def merge_left_update(spark: SparkSession, folder: str) -> DataFrame:
-    rows = poi_rows(spark, folder).select("id", "ord", *plan.METRICS)
+    rows = poi_rows(spark, folder).select("id", "ord", "tags", *plan.METRICS)
+    united = entities.union_of_sets(rows, "id", "tags")
     means = (
         rows.groupBy("id")
         .agg(F.count(F.lit(1)).alias("n"), *[F.avg(m).alias(m) for m in plan.METRICS])
         .where("n > 1")
+        .join(united, "id")
     )
-    return joins.update_from(rows, means, "id", plan.METRICS)
+    return flat(joins.update_from(rows, means, "id", ["tags", *plan.METRICS]))
 
 
 @case(
@@ -242,14 +245,17 @@ def join_columns_by_key(spark: SparkSession, folder: str) -> DataFrame:
     "set_difference",
     with_tables(
         """SELECT DISTINCT member FROM (SELECT unnest(categories) AS member FROM poi_rows)
-           EXCEPT SELECT DISTINCT 'ECONOMY' AS member""",
+           EXCEPT SELECT DISTINCT unnest(list_append(tags, CASE WHEN tags[1] = 'A' THEN categories[1] END)) AS member
+           FROM poi_rows WHERE tier = 2""",
         "poi_rows",
     ),
 )
 def set_difference(spark: SparkSession, folder: str) -> DataFrame:
-    # Categories never used as a tag; the stand-in's tags are padded with one category to exclude.
-    rows = poi_rows(spark, folder).withColumn("tags", F.array_append("tags", F.lit("ECONOMY")))
-    return profile.elements(rows, "categories").subtract(profile.elements(rows, "tags"))
+    # Categories never used as a tag; some rows of one tier carry their first category as a tag too.
+    rows = poi_rows(spark, folder)
+    first = F.when(F.get("tags", F.lit(0)) == "A", F.get("categories", F.lit(0)))
+    tagged = rows.where("tier = 2").withColumn("tags", F.array_append("tags", first))
+    return profile.elements(rows, "categories").subtract(profile.elements(tagged, "tags"))
 
 
 @case(
@@ -353,10 +359,7 @@ def engagement_label(spark: SparkSession, folder: str) -> DataFrame:
 @case("udf_row_label", LABEL_SQL)
 def udf_row_label(spark: SparkSession, folder: str) -> DataFrame:
     # The row function as a SQL function over named arguments; no Python per row.
-    prepare(spark).sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION assign_label(c DOUBLE, s DOUBLE) RETURNS INT RETURN CASE "
-        "WHEN s >= 0.5 AND c < 0.2 THEN -1 WHEN s < 0.5 AND c < 0.2 THEN 0 WHEN s < 0.5 AND c >= 0.2 THEN 1 ELSE 2 END"
-    )
+    prepare(spark).sql(f"CREATE OR REPLACE TEMPORARY FUNCTION assign_label(c DOUBLE, s DOUBLE) RETURNS INT RETURN {E.LABEL_SQL}")
     rows = plan.add_engagement(poi(spark, folder)).drop("engagement_label")
     return rows.select("id", F.expr("assign_label(C, S)").alias("engagement_label"))
 
@@ -396,7 +399,7 @@ def udf_normalize_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 #: A train split both engines can draw: four of five tiers and points.
-TRAIN_SQL = "CAST(substr(id, 5) AS BIGINT) % 5 <> 0"
+TRAIN_SQL = "CAST(split_part(id, '-', 2) AS BIGINT) % 5 <> 0"
 
 
 def _train(df: DataFrame) -> DataFrame:
@@ -414,13 +417,13 @@ ZSCORE_SQL = with_tables(
 
 @case("zscore_from_train", ZSCORE_SQL)
 def zscore_from_train(spark: SparkSession, folder: str) -> DataFrame:
-    # Lazy form: the train statistics enter as scalar subqueries.
+    # Lazy form: the train statistics enter as one scalar subquery.
     rows = poi(spark, folder).select("id", "locationLon", "locationLat")
-    columns = {}
-    for c in ("locationLon", "locationLat"):
-        stats = _train(rows).agg(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"))
-        columns[f"{c}_norm"] = E.z_score(F.col(c), stats.select("mean").scalar(), stats.select("std").scalar())
-    return rounded(rows.select("id", *[v.alias(k) for k, v in columns.items()]))
+    both = ("locationLon", "locationLat")
+    stats = [f(c).alias(f"{name}_{c}") for c in both for name, f in (("mean", F.avg), ("std", F.stddev_samp))]
+    known = _train(rows).agg(F.struct(*stats).alias("stats")).scalar()
+    normed = [E.z_score(F.col(c), known[f"mean_{c}"], known[f"std_{c}"]).alias(f"{c}_norm") for c in both]
+    return rounded(rows.select("id", *normed))
 
 
 @case("udf_normalize_coordinates", ZSCORE_SQL)
@@ -560,7 +563,16 @@ def split_report(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(split.split_report(split.stratified_split(rows, "id", "engagement_label"), "engagement_label"))
 
 
-@case("stratified_split")
+#: The split of every row: hash order within the label, cut at the sizes above.
+SPLIT_SQL = f"""WITH {_SIZES},
+  placed AS (SELECT id, engagement_label, row_number() OVER (PARTITION BY engagement_label ORDER BY
+               ('0x' || substr(md5(id || '#42'), 1, 15))::BIGINT, id) AS place FROM poi_engaged)
+SELECT id, engagement_label,
+       CASE WHEN place <= test THEN 'test' WHEN place <= test + val THEN 'val' ELSE 'train' END AS split
+FROM placed JOIN v1 ON engagement_label = label"""
+
+
+@case("stratified_split", with_tables(SPLIT_SQL, "poi_engaged"))
 def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
     rows = poi_engaged_stage(spark, folder).select("id", "engagement_label")
     return split.stratified_split(rows, "id", "engagement_label")

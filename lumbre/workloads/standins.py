@@ -69,8 +69,10 @@ def ivr_modules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ivr_steps(spark: SparkSession, folder: str) -> DataFrame:
-    order = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-        "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax"
+    # no step belongs to module 7, so that there is a module without steps; its lines go to module 3
+    module = F.when(F.col("l_linenumber") == 7, 3).otherwise(F.col("l_linenumber"))
+    order = Window.partitionBy("l_orderkey", "module").orderBy(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax"
     )
     supplier = F.col("l_suppkey")
 
@@ -80,10 +82,10 @@ def ivr_steps(spark: SparkSession, folder: str) -> DataFrame:
 
     return (
         scan(spark, folder, "lineitem")
-        .where("l_linenumber <= 6")
+        .withColumn("module", module)
         .select(
             F.col("l_orderkey").alias("ivr_id"),
-            F.col("l_linenumber").alias("module_sequece"),
+            F.col("module").alias("module_sequece"),
             F.row_number().over(order).alias("step_sequence"),
             pick(
                 F.col("l_partkey"), 3, "CUSTOMERINFOBYPHONE.TX", "CUSTOMERINFOBYDNI.TX", "OTHER.TX"
@@ -132,9 +134,9 @@ SELECT l_orderkey AS ivr_id, l_linenumber AS module_sequece,
 FROM lineitem GROUP BY l_orderkey, l_linenumber"""
 
 SQL["ivr_steps"] = """
-SELECT l_orderkey AS ivr_id, l_linenumber AS module_sequece,
-       CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-            ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) AS INTEGER)
+SELECT l_orderkey AS ivr_id, module AS module_sequece,
+       CAST(row_number() OVER (PARTITION BY l_orderkey, module
+            ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) AS INTEGER)
          AS step_sequence,
        CASE l_partkey % 3 WHEN 0 THEN 'CUSTOMERINFOBYPHONE.TX' WHEN 1 THEN 'CUSTOMERINFOBYDNI.TX'
                           ELSE 'OTHER.TX' END AS step_name,
@@ -145,7 +147,7 @@ SELECT l_orderkey AS ivr_id, l_linenumber AS module_sequece,
                           WHEN 3 THEN 'D' || CAST(l_suppkey AS VARCHAR) END AS document_identification,
        CASE l_suppkey % 3 WHEN 0 THEN 'UNKNOWN' WHEN 1 THEN 'P' || CAST(l_suppkey AS VARCHAR) END AS customer_phone,
        CASE WHEN l_partkey % 5 = 0 THEN 'UNKNOWN' ELSE 'B' || CAST(l_partkey AS VARCHAR) END AS billing_account_id
-FROM lineitem WHERE l_linenumber <= 6"""
+FROM (SELECT *, CASE WHEN l_linenumber = 7 THEN 3 ELSE l_linenumber END AS module FROM lineitem)"""
 
 SQL["ivr_detail"] = """
 SELECT c.ivr_id AS calls_ivr_id, c.phone_number AS calls_phone_number, c.ivr_result AS calls_ivr_result,
@@ -186,25 +188,28 @@ def with_tables(body: str, *names: str) -> str:
 
 
 def poi_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw rows with repeated ids; ``ord`` is the input order of an id's rows."""
+    """Raw rows, some with repeated ids; ``ord`` is the input order of a part's rows.
+
+    The rows of every tenth part share an id; each other row has one of its own, of part number and order.
+    """
     part = F.col("p_partkey")
     order = Window.partitionBy("l_partkey").orderBy(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax"
     )
     lines = scan(spark, folder, "lineitem").withColumn("ord", F.row_number().over(order))
     quiet = part % 97 == 0
+    own = F.when((part % 10 == 0) | (F.col("ord") == 1), "").otherwise(F.concat(F.lit("-"), F.col("ord").cast("string")))
     return (
-        lines.where("l_partkey % 10 = 0 or ord = 1")
-        .join(scan(spark, folder, "part"), F.col("l_partkey") == part)
+        lines.join(scan(spark, folder, "part"), F.col("l_partkey") == part)
         .select(
-            F.concat(F.lit("poi-"), part.cast("string")).alias("id"),
+            F.concat(F.lit("poi-"), part.cast("string"), own).alias("id"),
             F.col("p_name").alias("name"),
             F.col("p_type").alias("shortDescription"),
             F.when(part % 50 == 1, "[]")
             .otherwise(F.concat(F.lit("['"), F.col("p_brand"), F.lit("', '"), F.col("p_type"), F.lit("']")))
             .alias("categories"),
             F.concat(F.lit("['"), F.col("l_returnflag"), F.lit("']")).alias("tags"),
-            F.concat(F.lit("img/"), part.cast("string"), F.lit(".png")).alias("main_image_path"),
+            F.concat(F.lit("img/"), part.cast("string"), own, F.lit(".png")).alias("main_image_path"),
             (1 + F.col("p_size") % 4).alias("tier"),
             (-3.7 + (part * 37 % 1000) / 1000).alias("locationLon"),
             (40.4 + (part * 53 % 1000) / 1000).alias("locationLat"),
@@ -249,10 +254,11 @@ def poi_engaged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["poi_rows"] = """
-SELECT 'poi-' || CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_type AS "shortDescription",
+SELECT 'poi-' || CAST(p_partkey AS VARCHAR) || CASE WHEN p_partkey % 10 = 0 OR ord = 1 THEN '' ELSE '-' || ord END AS id, p_name AS name, p_type AS "shortDescription",
        CASE WHEN p_partkey % 50 = 1 THEN CAST([] AS VARCHAR[]) ELSE list_sort([p_brand, p_type]) END AS categories,
        [l_returnflag] AS tags,
-       'img/' || CAST(p_partkey AS VARCHAR) || '.png' AS main_image_path,
+       'img/' || CAST(p_partkey AS VARCHAR) || CASE WHEN p_partkey % 10 = 0 OR ord = 1 THEN '' ELSE '-' || ord END
+         || '.png' AS main_image_path,
        1 + p_size % 4 AS tier,
        CAST(-3.7 AS DOUBLE) + CAST(p_partkey * 37 % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS "locationLon",
        CAST(40.4 AS DOUBLE) + CAST(p_partkey * 53 % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS "locationLat",
@@ -264,8 +270,7 @@ SELECT 'poi-' || CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_type AS "sh
        CAST(ord AS INTEGER) AS ord
 FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey,
              l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) AS ord FROM lineitem) l
-JOIN part ON l_partkey = p_partkey
-WHERE p_partkey % 10 = 0 OR ord = 1"""
+JOIN part ON l_partkey = p_partkey"""
 
 SQL["poi"] = """
 SELECT id, arg_min(name, ord) AS name, arg_min("shortDescription", ord) AS "shortDescription",

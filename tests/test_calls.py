@@ -80,6 +80,23 @@ def test_left_join_with_hot_keys(spark, share, min_rows):
     assert got == expected
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "decimal(20,9)", "binary", "date", "double"])
+def test_salted_join_is_the_plain_one_for_every_key_type(spark, kind):
+    base = F.col("id") % 13
+    value = {
+        "timestamp": F.timestamp_micros(base * 1_000_000_007 + 123),
+        "decimal(20,9)": (base.cast("decimal(20,9)") + F.expr("0.123456789bd")).cast(kind),
+        "binary": F.concat(F.lit("\x00é"), base.cast("string")).cast("binary"),
+        "date": F.date_add(F.lit("2024-01-01"), base.cast("int")),
+        "double": F.when(base == 3, F.lit(-0.0)).otherwise(base / 3),
+    }[kind]
+    right = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("id")).select(value.alias("k"), "id")
+    left = spark.range(20).select(value.alias("k"), F.col("id").alias("a")).union(spark.createDataFrame([(None, 99)], right.schema))
+    plain = joins.left_join(left, right, ["k"]).select("a", "id").collect()
+    salted = joins.left_join(left, right, ["k"], True, 0.02, 5).select("a", "id").collect()
+    assert Counter(map(tuple, salted)) == Counter(map(tuple, plain))
+
+
 def test_detail_keeps_calls_and_modules_without_children(spark):
     calls = spark.createDataFrame([(1,), (2,), (3,)], "ivr_id long")
     for c in ivr.CALL_COLUMNS[1:]:
@@ -90,7 +107,7 @@ def test_detail_keeps_calls_and_modules_without_children(spark):
     steps = spark.createDataFrame([(1, 1, 1), (1, 1, 2), (2, None, 1), (3, 1, 1)], "ivr_id long, module_sequece int, step_sequence int")
     steps = steps.withColumns({c: F.lit("y") for c in ivr.STEP_COLUMNS[1:]})
     expected = sorted([(1, 1, 1), (1, 1, 2), (1, 2, None), (2, None, None), (3, None, None)], key=str)
-    for how in ((None,), (True,), (True, 0.1, 1)):
+    for how in ((), (True,), (True, 0.1, 1)):
         rows = ivr.detail(calls, modules, steps, *how).collect()
         assert sorted(((r["calls_ivr_id"], r["module_sequece"], r["step_sequence"]) for r in rows), key=str) == expected
         assert len(rows[0]) == 25

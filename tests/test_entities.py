@@ -111,11 +111,24 @@ def test_multi_hot(spark):
         plan.multi_hot(df, "categories", limit=2)
 
 
-def test_split_sizes_of_the_known_case():
+def allocate(counts, share):
+    """Sizes per stratum, the plain way."""
+    whole = sum(counts.values())
+    take = math.ceil(share * whole)
+    exact = {k: take * n / whole for k, n in counts.items()}
+    out = {k: math.floor(x) for k, x in exact.items()}
+    for k in sorted(exact, key=lambda k: (out[k] - exact[k], str(k)))[: take - sum(out.values())]:
+        out[k] += 1
+    return out
+
+
+def test_split_sizes_of_the_known_case(spark):
     counts = {-1: 500, 0: 392, 2: 600}
-    test = split.allocate(counts, 0.15)
+    df = spark.createDataFrame(list(counts.items()), "label int, n long")
+    sizes = split.allocated(split.allocated(df, F.col("n"), 0.15, "test"), F.col("n") - F.col("test"), 0.15, "val").collect()
+    test, val = {r["label"]: r["test"] for r in sizes}, {r["label"]: r["val"] for r in sizes}
     rest = {k: n - test[k] for k, n in counts.items()}
-    val = split.allocate(rest, 0.15)
+    assert test == allocate(counts, 0.15) and val == allocate(rest, 0.15)
     assert (sum(test.values()), sum(val.values())) == (224, 191)
     assert sum(rest.values()) - 191 == 1077
     assert all(abs(test[k] - 224 * counts[k] / 1492) < 1 for k in counts)
@@ -137,8 +150,8 @@ def test_split_is_a_stable_partition(spark):
     per_label = {}
     for v in label_of.values():
         per_label[v] = per_label.get(v, 0) + 1
-    test = split.allocate(per_label, 0.15)
-    val = split.allocate({k: n - test[k] for k, n in per_label.items()}, 0.15)
+    test = allocate(per_label, 0.15)
+    val = allocate({k: n - test[k] for k, n in per_label.items()}, 0.15)
     for label in per_label:
         assert counts.get(("test", label), 0) == test[label]
         assert counts.get(("val", label), 0) == val[label]
@@ -162,6 +175,26 @@ def test_nearest_centre_ties_go_low(spark):
     assert [r["geo_cluster"] for r in got] == [0, 0, None]
 
 
+def test_csv_keeps_line_breaks_and_quotes(spark, tmp_path):
+    rows = [("a", 'one\ntwo, "three"\n'), ("b", "\n"), ("c", 'plain "q"'), ("d", "it's"), ("e", None)]
+    df = spark.createDataFrame(rows, "id string, name string")
+    write_csv(df.repartition(2), str(tmp_path / "breaks"))
+    again = read_csv(spark, str(tmp_path / "breaks"), df.schema).collect()
+    assert sorted((r["id"], r["name"]) for r in again) == sorted(rows)
+
+
+def test_text_that_is_no_list_is_one_member(spark):
+    df = spark.createDataFrame([("['b', 'a', 'b']",), ("museum",), ("{'x'}",), ("set()",), (None,)], "c string")
+    got = [r["c"] for r in entities.parse_sets(df, "c").collect()]
+    assert got == [["a", "b"], ["museum"], ["x"], [], []]
+
+
+def test_no_spread_gives_zero(spark):
+    df = spark.createDataFrame([(1.0,), (None,)], "x double")
+    for std in (0.0, None):
+        assert [r[0] for r in df.select(E.z_score(F.col("x"), 1.0, F.lit(std).cast("double"))).collect()] == [0.0, None]
+
+
 def test_csv_round_trip_and_input_order(spark, tmp_path):
     text = 'id,name,shortDescription,categories,tags,main_image_path,tier,locationLon,locationLat,xps,Visits,Likes,Dislikes,Bookmarks\n'
     text += '''a,"Say ""hi"", all",d,"['Cine', ""L'H""]",['x'],img/a.png,1,-3.7,40.4,50,10001,5,5,1\n'''

@@ -42,7 +42,40 @@ def test_flags_over_joined_detail_do_not_read_steps(spark):
 def test_recall_builds_no_pairs(saved, build):
     plan = plan_of(build(saved))
     assert "Cartesian" not in plan and "NestedLoop" not in plan
-    joins = [line for line in plan.splitlines() if re.search(r"(SortMerge|BroadcastHash|ShuffledHash)Join", line)]
-    assert len(joins) == 1 and "sec" in joins[0]
+    near = [line for line in plan.splitlines() if re.search(r"Join \[.*phone#\d+, sec#", line)]
+    assert len(near) == 1
     frames = re.findall(r"specifiedwindowframe\(RangeFrame, ([^,]+), ([^)]+)\)", plan)
     assert frames and all(start.startswith("unbounded") or (start, end) == ("-1", "-1") for start, end in frames)
+
+
+def test_summary_joins_the_detail_once(spark):
+    calls, modules, steps = (f(spark, FOLDER) for f in (ivr_calls, ivr_modules, ivr_steps))
+    plan = plan_of(ivr.summary(ivr.detail(calls, modules, steps), calls))
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert sum("l_returnflag" in line for line in scans) == 1
+    keys = re.findall(r"(?:Sort|ObjectHash|Hash)Aggregate\(keys=\[([^\]]*)\]", plan)
+    assert max(k.count("#") for k in keys) <= 3
+
+
+def test_references_read_each_table_once(spark):
+    from lumbre.operators import audit
+    from lumbre.sources.tables import scan
+
+    keys = [audit.Reference("lineitem", "l_partkey", "part", "p_partkey"), audit.Reference("lineitem", "l_orderkey", "orders", "o_orderkey")]
+    plan = plan_of(audit.references({n: scan(spark, FOLDER, n) for n in ("lineitem", "part", "orders")}, keys))
+    assert plan.count("FileScan parquet") == 3 and "Join" not in plan
+
+
+def test_no_scratch_on_one_machine_of_a_cluster():
+    from lumbre.session import shared_dir
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+
+    assert shared_dir(Session(spark_checkpoint_dir="hdfs:///x/")) == "hdfs:///x"
+    assert shared_dir(Session(spark_master="local[4]")).endswith("lumbre-shared")
+    assert shared_dir(Session(spark_master="yarn", spark_hadoop_fs_defaultFS="hdfs://n")) == "hdfs://n/tmp/lumbre-shared"
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(Session(spark_master=master))

@@ -25,22 +25,28 @@ def _values(kind, rng):
 
 
 @pytest.mark.parametrize("kind", ["uniform", "whole", "outliers", "close", "one", "constant", "signs"])
-@pytest.mark.parametrize("cells", [True, False])
-def test_quantiles_are_exact(spark, kind, cells):
+def test_quantiles_are_exact(spark, kind):
     values = _values(kind, random.Random(5))
     df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double").repartition(3)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {r["p"]: r["value"] for r in quantiles.exact(df, ["x"], probs, cells=cells).collect()}
+    got = {r["p"]: r["value"] for r in quantiles.exact(df, ["x"], probs).collect()}
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(values, p)), rel=1e-12, abs=1e-300)
 
 
-@pytest.mark.parametrize("cells", [True, False])
-def test_grouped_quantiles(spark, cells):
+def test_quantiles_next_to_infinities(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in (-inf, -1e308, 0.0, 2.0, 3.0, 1e308, inf)], "x double")
+    got = {r["p"]: r["value"] for r in quantiles.exact(df, ["x"], [0.0, 0.05, 1 / 6, 0.5, 0.75, 0.9, 1.0]).collect()}
+    assert (got[0.0], got[0.05], got[1 / 6], got[0.5], got[0.9], got[1.0]) == (-inf, -inf, -1e308, 2.0, inf, inf)
+    assert got[0.75] == pytest.approx(5e307)
+
+
+def test_grouped_quantiles(spark):
     rng = random.Random(9)
     rows = [(rng.choice("aaab"), rng.random(), float(rng.randrange(5))) for _ in range(600)]
     df = spark.createDataFrame(rows, "g string, x double, y double")
-    found = quantiles.exact(df, ["x", "y"], [0.25, 0.5], ["g"], cells).collect()
+    found = quantiles.exact(df, ["x", "y"], [0.25, 0.5], ["g"]).collect()
     got = {(r["g"], r["column"], r["p"]): r["value"] for r in found}
     for g in "ab":
         for i, c in ((1, "x"), (2, "y")):
@@ -115,8 +121,11 @@ def test_key_audits(spark):
     keys = {(r["key"], r["n"]) for r in audit.primary_key(staff, "staff", "staff_id").collect()}
     assert keys == {("1", 2), ("NULL", 1)}
     assert {(r["key"], r["n"]) for r in audit.unique(staff, "staff", "email").collect()} == {("a", 2), ("NULL", 1)}
-    dangling = audit.foreign_key(staff, "staff", "module_id", modules, "modules", "module_id").collect()
-    assert [(r["key"], r["n"]) for r in dangling] == [("7", 2)]
+    refers = [audit.Reference("staff", "module_id", "modules", "module_id"), audit.Reference("modules", "module_id", "staff", "staff_id")]
+    dangling = audit.references({"staff": staff, "modules": modules.union(modules).union(spark.createDataFrame([(8,)], "m int"))}, refers)
+    rows = {(r["table"], r["constraint"], r["key"], r["n"]) for r in dangling.collect()}
+    assert rows == {("staff", "foreign key(module_id)->modules(module_id)", "7", 2),
+                    ("modules", "foreign key(module_id)->staff(staff_id)", "8", 1)}
 
 
 def test_value_audits(spark):
@@ -124,11 +133,17 @@ def test_value_audits(spark):
         [("x" * 256, "123456789.00", "7", "2024-02-30"), ("x" * 255, "1.239", "seven", "2024-02-29"), (None, "1.20", None, None)],
         "name string, money string, n string, d string",
     )
-    assert [(r["key"], r["n"]) for r in audit.max_length(df, "t", "name", 255).collect()] == [("256", 1)]
-    money = audit.castable(df, "t", "money", T.DecimalType(10, 2)).collect()
-    assert {r["key"] for r in money} == {"123456789.00", "1.239"}
-    assert [r["key"] for r in audit.castable(df, "t", "n", T.IntegerType()).collect()] == ["seven"]
-    assert [r["key"] for r in audit.castable(df, "t", "d", T.DateType()).collect()] == ["2024-02-30"]
+    checks = [
+        audit.too_long("name", 255),
+        audit.not_castable("money", T.DecimalType(10, 2)),
+        audit.not_castable("n", T.IntegerType()),
+        audit.not_castable("d", T.DateType()),
+    ]
+    found = audit.bad_values(df, "t", checks)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert {(r["constraint"].split()[-1], r["key"], r["n"]) for r in found.collect()} == {
+        ("name", "256", 1), ("money", "123456789.00", 1), ("money", "1.239", 1), ("n", "seven", 1), ("d", "2024-02-30", 1)
+    }
 
 
 def test_declared_schema():
