@@ -32,5 +32,28 @@ def _best(shards: int) -> str:
     return f"CAST(list_position({scores}, list_max({scores})) - 1 AS INTEGER)"
 
 
-SQL: dict[str, str] = {}  # DuckDB has no CRC-32: see tests/llm/test_shards.py for the comparison with the rest
+def _crc_table() -> list[int]:
+    """CRC-32 of each byte, by the rule of its polynomial."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [(x >> 1) ^ (0xEDB88320 if x & 1 else 0) for x in table]
+    return table
+
+
+SQL = {
+    "op6_rendezvous": f"""
+WITH bytes AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS b
+  FROM documents),
+sums AS (
+  SELECT doc_id, len(b) + 1 AS size,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+             lambda c, x: xor(c >> 8, ({_crc_table()}::BIGINT[])[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32,
+         {_best(SHARDS)} AS shard, {_best(SHARDS + 1)} AS grown_shard
+  FROM bytes)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard
+FROM sums"""
+}
 QUERIES = {"op6_rendezvous": op6_rendezvous}
