@@ -169,7 +169,7 @@ def duplicated_all(spark: SparkSession, folder: str) -> DataFrame:
     return entities.duplicated(poi_rows(spark, folder).select("id", "ord", "xps"), ["id"])
 
 
-@case("dedupe_keep_first", with_tables(f"SELECT {POI_FLAT}, ord FROM poi_rows WHERE ord = 1", "poi_rows"))
+@case("dedupe_keep_first", with_tables(f"SELECT {POI_FLAT}, ord FROM poi_rows QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord) = 1", "poi_rows"))
 def dedupe_keep_first(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(flat(entities.keep_first(poi_rows(spark, folder), ["id"], ["ord"])))
 
