@@ -255,6 +255,7 @@ def _labelled(
     """(id, tie, grp, n_links) of every row: the rows of one ``grp`` are linked, directly or in a chain."""
     signed = save_scratch(_signed(docs, id_col, text_col), "signed")
     named = signed.groupBy("h1", "h2").agg(F.min("row").alias("class"), F.count(F.lit(1)).alias("n_docs"))
+    named = save_scratch(named, "classes")  # so that the join may split the copies of one text
     members = save_scratch(
         signed.select("row", "id", "tie", "h1", "h2").join(named, ["h1", "h2"]).drop("h1", "h2"), "members"
     )
