@@ -23,7 +23,7 @@ from lumbre.llm.texts import slices, utf8, words
 from lumbre.sources.tables import save_scratch
 
 #: Bytes of text in a block of the index.
-BLOCK = 4_000_000
+BLOCK = 2_000_000
 #: Bytes of test text that are sent to the tasks at once; a larger set is asked in several turns.
 QUERY_BYTES = 32_000_000
 
@@ -84,6 +84,15 @@ class Windows:
         self.items = [sorted(s - {None}) for s in found.values()]
         self.vocabulary = np.unique(np.array([w for key in found for w in key], np.uint64))
         self.keys = [np.searchsorted(self.vocabulary, np.array(key, np.uint64)) for key in found]
+        sizes = np.array([len(k) for k in self.keys], np.int64)
+        self._by_size = [
+            (own, np.stack([self.keys[k] for k in own])) for own in (np.flatnonzero(sizes == n) for n in np.unique(sizes))
+        ]
+
+    def possible(self, count: np.ndarray) -> list[int]:
+        """The windows all of whose terms have postings."""
+        found = [own[(count[keys] > 0).all(1)] for own, keys in self._by_size]
+        return np.sort(np.concatenate(found)).tolist() if found else []
 
     def __len__(self) -> int:
         return len(self.keys)
@@ -112,9 +121,8 @@ class _Block:
     def phrases(self, windows: Windows) -> Iterator[tuple[int, np.ndarray]]:
         """Windows with the word numbers at which they begin, ascending."""
         start, count = self.lists(windows.vocabulary)
-        for k, key in enumerate(windows.keys):
-            if not count[key].all():
-                continue
+        for k in windows.possible(count):
+            key = windows.keys[k]
             rare = np.argsort(count[key], kind="stable")
             left = self._postings(start, count, key[rare[0]]) - rare[0]
             for offset in rare[1:]:
@@ -131,10 +139,8 @@ class _Block:
     def near(self, windows: Windows, within: int) -> Iterator[tuple[int, np.ndarray]]:
         """Windows with the places of their rarest term that have every other term at most ``within`` words off."""
         start, count = self.lists(windows.vocabulary)
-        for k, key in enumerate(windows.keys):
-            terms = np.unique(key)
-            if not count[terms].all():
-                continue
+        for k in windows.possible(count):
+            terms = np.unique(windows.keys[k])
             terms = terms[np.argsort(count[terms], kind="stable")]
             left = self._postings(start, count, terms[0])
             for term in terms[1:]:

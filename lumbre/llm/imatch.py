@@ -31,7 +31,7 @@ from lumbre.llm.texts import mixed, slices, utf8, words
 BAND = (0.001, 0.2)
 FAMILIES, LEVELS = 64, 3
 #: Terms that a task holds before it hands their counts on.
-HELD = 2_000_000
+HELD = 1_000_000
 _SEEDS = mixed(np.arange(1, FAMILIES + 1, dtype=np.uint64) << np.uint64(20))
 
 

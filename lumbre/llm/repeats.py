@@ -208,7 +208,7 @@ def marks(docs: DataFrame, text_col: str = "text", least: int = LEAST, anchor: i
     )
     kinds = save_scratch(kinds, "kinds")
     sizes = kinds.groupBy("key").agg(F.sum("size").alias("bytes"))
-    many = sizes.where(F.col("bytes") > hot).select("key", F.lit(True).alias("many"))
+    many = save_scratch(sizes.where(F.col("bytes") > hot).select("key", F.lit(True).alias("many")), "many")
     asked = kinds.join(many, "key", "left").withColumn("hot", F.coalesce("many", F.lit(False)))
     cut = save_scratch(_cut(asked, _packed(docs, text_col)), "cut")
     total = kinds.agg(F.sum("size")).first()[0] or 0

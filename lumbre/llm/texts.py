@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are worked on in slices of about so many bytes (a longer text is a slice of its own).
-SLICE = 2_000_000
+SLICE = 1_000_000
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
