@@ -33,8 +33,17 @@ def save_scratch(df: DataFrame, name: str) -> DataFrame:
     return save(df, scratch_path(df.sparkSession, name))
 
 
-def save_bucketed(df: DataFrame, table: str, buckets: int, *keys: str) -> DataFrame:
-    """Replace a catalog table, bucketed by ``keys`` so that later joins and groupings on them do
-    not shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(table)
+def save_bucketed(df: DataFrame, table: str, buckets: int, *keys: str, path: str | None = None) -> DataFrame:
+    """Replace a catalog table, bucketed and sorted by ``keys`` so that later joins and groupings on them do
+    not shuffle; its files are at ``path`` or, without one, in the warehouse."""
+    writer = df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
     return df.sparkSession.table(table)
+
+
+def replace_table(df: DataFrame, table: str, *keys: str) -> DataFrame:
+    """Replace a named table by ``df``, in as many buckets as shuffles have partitions, with new files in the shared
+    folder: who still reads the old table is not disturbed."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return save_bucketed(df, table, buckets, *keys, path=scratch_path(spark, table))

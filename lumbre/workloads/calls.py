@@ -9,7 +9,7 @@ from lumbre.functions import calls as C
 from lumbre.operators import joins
 from lumbre.plans import ivr
 from lumbre.session import prepare
-from lumbre.sources.tables import save_scratch, scan
+from lumbre.sources.tables import replace_table, scan
 from lumbre.workloads.registry import case
 from lumbre.workloads.standins import ivr_calls, ivr_detail, ivr_modules, ivr_steps, with_tables
 
@@ -85,13 +85,14 @@ def detail(spark: SparkSession, folder: str) -> DataFrame:
 
 @case("sink_ctas_detail", DETAIL_SQL)
 def sink_ctas_detail(spark: SparkSession, folder: str) -> DataFrame:
-    return save_scratch(ivr_detail(spark, folder), "ivr_detail")
+    return replace_table(ivr_detail(spark, folder), "ivr_detail", "calls_ivr_id")
 
 
 @case("sink_ctas_summary", SUMMARY_SQL)
 def sink_ctas_summary(spark: SparkSession, folder: str) -> DataFrame:
-    saved = save_scratch(ivr_detail(spark, folder), "ivr_detail")
-    return save_scratch(ivr.summary(saved, ivr_calls(spark, folder)), "ivr_summary")
+    # Tables under their names; the summary groups the bucketed detail without a shuffle of it.
+    saved = replace_table(ivr_detail(spark, folder), "ivr_detail", "calls_ivr_id")
+    return replace_table(ivr.summary(saved, ivr_calls(spark, folder)), "ivr_summary", "calls_ivr_id")
 
 
 @case(

@@ -57,6 +57,18 @@ def test_summary_joins_the_detail_once(spark):
     assert max(k.count("#") for k in keys) <= 3
 
 
+def test_summary_of_the_named_table_does_not_shuffle_it(spark):
+    from lumbre.sources.tables import replace_table
+
+    detail = replace_table(ivr_detail(spark, FOLDER), "detail_of_test", "calls_ivr_id")
+    again = replace_table(detail.limit(10), "other_of_test", "calls_ivr_id")
+    assert replace_table(ivr_detail(spark, FOLDER), "detail_of_test", "calls_ivr_id").count() > again.count() == 10
+    plan = plan_of(ivr.document_known_row(spark.table("detail_of_test")))
+    assert "Exchange" not in plan
+    for name in ("detail_of_test", "other_of_test"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_references_read_each_table_once(spark):
     from lumbre.operators import audit
     from lumbre.sources.tables import scan
