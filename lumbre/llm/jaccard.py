@@ -285,8 +285,8 @@ def jaccard_join(
 ) -> DataFrame:
     """(id, class_id, n_links) of every row: rows linked directly or in a chain have one class, named by its lowest
     id; ``n_links`` counts the other rows whose similarity reaches the threshold."""
-    rows = _labelled(docs, id_col, text_col, threshold, tolerance)
-    names = rows.groupBy("grp").agg(F.min("id").alias("class_id"))
+    rows = save_scratch(_labelled(docs, id_col, text_col, threshold, tolerance), "labelled")
+    names = save_scratch(rows.groupBy("grp").agg(F.min("id").alias("class_id")), "names")
     return rows.join(names, "grp").select("id", "class_id", "n_links")
 
 
