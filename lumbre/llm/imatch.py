@@ -7,11 +7,13 @@ subset finds the same terms in both. Subsets come in families of levels, each ha
 a fingerprint holds the levels at which a document of its number of terms has about one term left. ``likeness`` is
 the share of equal pairs.
 
-As the lower bound is a share of all documents, the lexicon has at most (mean distinct terms) / (lower bound) terms
-however many documents there are, so it can be sent to every task.
+Shares are taken over rows and over different texts, and a term is in the lexicon if either lies between the bounds:
+copies of one text, however many, do not push its terms out. As the lower bound is a share of all documents, the
+lexicon has at most twice (mean distinct terms) / (lower bound) terms however many documents there are, so it can be
+sent to every task.
 
-A null text is empty. A text without lexicon terms has the hash of its words as fingerprint, or "-" without words:
-such a text is like equal ones only. Rows of one id follow each other in the order of a hash of their texts.
+A null text is empty. A text with few lexicon terms among its own has its subsets drawn from all its terms, and one
+without words has "-" as fingerprint. Rows of one id follow each other in the order of a hash of their texts.
 """
 
 from __future__ import annotations
@@ -29,6 +31,10 @@ from lumbre.llm.texts import mixed, slices, utf8, words
 
 #: Share of documents a lexicon term stands in, at least and at most.
 BAND = (0.001, 0.2)
+#: Share of its terms that a text has in the lexicon at least, or all its terms are used.
+ENOUGH = 0.2
+#: Slots in which hashes of texts with copies are marked; a power of two. The driver holds at most so many numbers.
+SLOTS = 1 << 22
 FAMILIES, LEVELS = 64, 3
 #: Terms that a task holds before it hands their counts on.
 HELD = 1_000_000
@@ -45,38 +51,91 @@ def _distinct(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     return terms[new], owner[new]
 
 
-def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, documents) over all rows; terms are 64-bit hashes."""
+def _named(docs: DataFrame, text_col: str) -> DataFrame:
+    """(h1, h2, text): 128 bits that tell texts apart, null as empty."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text"))
 
-    def summed(found: list[np.ndarray], times: list[np.ndarray]) -> pa.RecordBatch:
-        terms, place = np.unique(np.concatenate(found), return_inverse=True)
-        counts = np.bincount(place, np.concatenate(times), len(terms)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["term", "n"])
+
+def _slots(hashes: pa.Array) -> np.ndarray:
+    return hashes.to_numpy().view(np.uint64) & np.uint64(SLOTS - 1)
+
+
+def _sizes(docs: DataFrame, text_col: str) -> tuple[int, int, np.ndarray]:
+    """Rows, different texts, and by slot whether a text with copies may be in it."""
+    each = _named(docs, text_col).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    rows, texts = each.agg(F.sum("n"), F.count("n")).first()
+    slot = F.col("h1").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")
+    marked = np.zeros(SLOTS, bool)
+    marked[each.where("n > 1").select(slot).distinct().toArrow().column("slot").to_numpy()] = True
+    return rows or 0, texts, marked
+
+
+def _once(named: DataFrame, marked: np.ndarray) -> DataFrame:
+    """The texts in marked slots, one row each. A task sends a text once, so copies hardly move."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[np.ndarray] = []
-        times: list[np.ndarray] = []
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            offsets, data = utf8(batch.column(0))
-            for i, j in slices(offsets):
-                terms, counts = np.unique(_distinct(*words(offsets[i : j + 1], data))[0], return_counts=True)
-                found.append(terms)
-                times.append(counts)
-            if sum(map(len, found)) > HELD:
+            batch = batch.filter(pa.array(marked[_slots(batch.column(0))]))
+            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            new = []
+            for key in keys:
+                new.append(key not in seen)
+                seen.add(key)
+            if any(new):
+                yield batch.filter(pa.array(new))
+            if len(seen) > HELD:
+                seen.clear()
+
+    return named.mapInArrow(run, named.schema).dropDuplicates(["h1", "h2"])
+
+
+def document_frequencies(docs: DataFrame, marked: np.ndarray, text_col: str = "text") -> DataFrame:
+    """(term, documents, texts): in how many rows and how many different texts a term stands; terms are 64-bit hashes."""
+
+    def summed(found: list[np.ndarray], times: list[np.ndarray]) -> pa.RecordBatch:
+        terms, place = np.unique(np.concatenate(found), return_inverse=True)
+        times = np.concatenate(times, axis=1)
+        counts = [pa.array(np.bincount(place, t, len(terms)).astype(np.int64)) for t in times]
+        return pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), *counts], ["term", "n", "m"])
+
+    def counter(once: bool):
+        """Of rows, each counts, and as a text where its slot is not marked; ``once``, as a text only."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: list[np.ndarray] = []
+            times: list[np.ndarray] = []
+            for batch in batches:
+                offsets, data = utf8(batch.column(2))
+                single = np.ones(len(batch), bool) if once else ~marked[_slots(batch.column(0))]
+                for i, j in slices(offsets):
+                    terms, owner = _distinct(*words(offsets[i : j + 1], data))
+                    terms, place = np.unique(terms, return_inverse=True)
+                    rows = np.bincount(place, minlength=len(terms))
+                    texts = np.bincount(place, single[i:j][owner], len(terms))
+                    found.append(terms)
+                    times.append(np.stack([0 * rows if once else rows, texts]))
+                if sum(map(len, found)) > HELD:
+                    yield summed(found, times)
+                    found, times = [], []
+            if found:
                 yield summed(found, times)
-                found, times = [], []
-        if found:
-            yield summed(found, times)
 
-    counted = docs.select(F.col(text_col)).mapInArrow(run, "term long, n long")
-    return counted.groupBy("term").agg(F.sum("n").alias("documents"))
+        return run
+
+    named = _named(docs, text_col)
+    schema = "term long, n long, m long"
+    counted = named.mapInArrow(counter(False), schema).union(_once(named, marked).mapInArrow(counter(True), schema))
+    return counted.groupBy("term").agg(F.sum("n").alias("documents"), F.sum("m").alias("texts"))
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", band: tuple[float, float] = BAND) -> np.ndarray:
-    """Sorted hashes of the terms in the band."""
-    n = docs.count()
-    inside = F.col("documents").between(F.lit(band[0] * n), F.lit(band[1] * n))
-    terms = document_frequencies(docs, text_col).where(inside).select("term").toArrow()
+    """Sorted hashes of the terms whose share of the rows, or of the different texts, is in the band."""
+    rows, texts, marked = _sizes(docs, text_col)
+    inside = F.col("documents").between(F.lit(band[0] * rows), F.lit(band[1] * rows))
+    inside |= F.col("texts").between(F.lit(band[0] * texts), F.lit(band[1] * texts))
+    terms = document_frequencies(docs, marked, text_col).where(inside).select("term").toArrow()
     return np.sort(terms.column("term").to_numpy().view(np.uint64))
 
 
@@ -93,16 +152,14 @@ def fingerprints(column: pa.Array, known: np.ndarray) -> list[str]:
         else:
             kept, place = terms[:0], owner[:0]
         edge = np.searchsorted(place, np.arange(j - i + 1))
+        begin = np.searchsorted(owner, np.arange(j - i + 1))
         for k in range(j - i):
-            own = kept[edge[k] : edge[k + 1]]
-            out.append(_digits(own) if len(own) else _plain(hashes[first[k] : first[k + 1]]))
+            own, full = kept[edge[k] : edge[k + 1]], terms[begin[k] : begin[k + 1]]
+            own = own if len(own) >= ENOUGH * len(full) else full
+            out.append(_digits(own) if len(own) else "-")
     return out
 
 
-def _plain(hashes: np.ndarray) -> str:
-    return f"={hashlib.md5(hashes.tobytes()).hexdigest()}" if len(hashes) else "-"
-
-
 def _digits(terms: np.ndarray) -> str:
     """Digits at ``LEVELS`` levels around the one at which a subset has one or two of the terms."""
     lowest = max(0, len(terms).bit_length() - 2)

@@ -66,3 +66,35 @@ def test_odd_and_empty_tables(odd, none):
     assert len({r.fingerprint for r in rows if r.id in (4, 5)}) == 1
     assert I.compared(none, I.lexicon(none)).count() == 0
     assert I.fingerprinted(odd, I.lexicon(odd)).count() == odd.count()
+
+
+def test_copies_of_one_text_keep_its_terms(spark):
+    say = lambda k: " ".join(f"w{k}x{i}" for i in range(200))
+    rows = [(k, say(k % 300 if k % 3 else 0)) for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = I.lexicon(docs)
+    hashes = words(*utf8(pa.array([say(0)])))[0]
+    assert set(hashes.tolist()) <= set(known.tolist())
+    got = [r for r in I.compared(docs, known).collect() if r.id % 3 == 0]
+    assert len(got) == 300 and all(0.1 < r.near_edited < 0.9 for r in got)
+
+
+def test_texts_counted_once_and_rows_each(spark):
+    texts = ["a b", "a b", "a c", None, None, "", "c"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    n, m, marked = I._sizes(docs, "text")
+    assert (n, m) == (7, 4)
+    found = {r.term: (r.documents, r.texts) for r in I.document_frequencies(docs, marked).collect()}
+    name = lambda w: int(words(*utf8(pa.array([w])))[0].view("int64")[0])
+    assert found == {name("a"): (3, 2), name("b"): (2, 1), name("c"): (2, 2)}
+    # every slot marked, as with many copies: the same counts
+    found_all = {r.term: (r.documents, r.texts) for r in I.document_frequencies(docs, marked | True).collect()}
+    assert found_all == found
+
+
+def test_text_without_lexicon_terms_is_like_its_near_copy():
+    known = words(*utf8(pa.array(["other"])))[0]
+    say = lambda a, b: " ".join(f"t{k}" for k in range(a, b))
+    for lexicon in (known, known[:0]):
+        one, near, far = I.fingerprints(pa.array([say(0, 100), say(2, 102), say(500, 600)]), lexicon)
+        assert I.likeness(one, near) > 0.8 > 0.05 > I.likeness(one, far)
