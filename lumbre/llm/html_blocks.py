@@ -1,8 +1,10 @@
 """Leaf blocks of an HTML page: the text between two block boundaries, with the elements around it.
 
-Scripts, styles, comments, the head and other elements without readable text are left out. Character references are
-decoded, white space becomes single spaces. Tags that were not closed are closed as browsers do for paragraphs, list
-items and table parts; a stray end tag is ignored. Markup that breaks off at the end of the page is no text.
+Scripts, styles, comments, the head and other elements without readable text are left out; formulas are text of their
+line. Character references are decoded, white space becomes single spaces. Tags that were not closed are closed as
+browsers do for paragraphs, list items and table parts; a stray end tag is ignored. The head ends where something
+stands that may not be in it. A drawing, list of options or player that is never closed ends at the first block after
+it, or where an element around it ends. Markup that breaks off at the end of the page is no text.
 """
 
 from __future__ import annotations
@@ -17,17 +19,36 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-#: Scripts and styles end at their end tag and nowhere else: what looks like markup in them is none.
-_RAW = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I) for tag in ("script", "style")}
+#: These end at their end tag and nowhere else: what looks like markup in them is none.
+_RAW = {
+    tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I)
+    for tag in ("script", "style", "title", "textarea", "iframe", "noscript")
+}
 _PART = re.compile(r"[a-z]+")
 
 #: Fixed by HTML: elements without an end tag, elements inside a line of text, and elements whose content is no text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
-    "sub sup time tt u var wbr img".split()
+    "sub sup time tt u var wbr img "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose mfenced msub msup "
+    "msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics maction".split()
+)
+#: Besides the raw ones; a template is the only one that runs to the end of the page if it is not closed.
+OPAQUE = frozenset("template svg object canvas audio video select annotation annotation-xml".split())
+_PAIRED = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea|iframe|noscript)\b.*?(?:</\1\b|\Z)"
+    rf"|<(/?)({'|'.join(sorted(OPAQUE, key=len, reverse=True))})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
+    re.S | re.I,
+)
+#: What may stand in the head; anything else begins the body.
+_IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head html".split())
+#: Start tags that end an opaque element without end tag.
+BLOCK = frozenset(
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr "
+    "ul".split()
 )
-OPAQUE = frozenset("script style noscript template svg math iframe object canvas audio video select textarea head title".split())
 #: Elements that end an open element of the same kind, and how far up that is looked for.
 _ENDS = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -57,6 +78,23 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return (tag, *(f".{w}" for w in dict.fromkeys(words)))
 
 
+def _ends_of_opaque(page: str) -> dict[int, int]:
+    """Where each closed opaque element ends, by the place of its start tag. An end tag closes the last one open."""
+    found: dict[int, int] = {}
+    open_: dict[str, list[int]] = {}
+    for match in _PAIRED.finditer(page):
+        ending, tag, rest = match.group(2, 3, 4)
+        if tag is None:
+            continue
+        begins = open_.setdefault(tag.lower(), [])
+        if not ending:
+            if not rest.endswith("/"):
+                begins.append(match.start())
+        elif begins:
+            found[begins.pop()] = match.end()
+    return found
+
+
 def blocks(page: str | None) -> list[Block]:
     """All leaf blocks of a page in order; none for a null or empty page."""
     out: list[Block] = []
@@ -65,7 +103,9 @@ def blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked = total = links = 0
-    opaque = ""
+    opaque = ""  # an element without end tag, whose content is left out
+    head = False
+    ends: dict[int, int] | None = None
     at = 0
 
     def close() -> None:
@@ -87,6 +127,7 @@ def blocks(page: str | None) -> list[Block]:
     while match := _TOKEN.search(page, at):
         begin, end = match.span()
         if not opaque and begin > at:
+            head = head and page[at:begin].isspace()
             parts.append(page[at:begin])
             total += begin - at
             linked += (begin - at) * (links > 0)
@@ -97,21 +138,32 @@ def blocks(page: str | None) -> list[Block]:
             if tag is None:
                 continue
         tag = tag.lower()
+        if tag in _RAW:
+            if not ending and (tag in ("script", "style") or not rest.endswith("/")):
+                raw = _RAW[tag].search(page, end)
+                at = raw.end() if raw else len(page)
+            continue
         if opaque:
-            if ending and tag == opaque:
-                opaque = ""
-            elif opaque == "head" and tag == "body":
-                opaque = ""
-            else:
-                continue
-            if ending:
+            around = tag not in INLINE and any(name == tag for name, _ in stack)
+            if opaque == "template" or not (around if ending else tag in BLOCK):
                 continue
+            opaque = ""
+        if tag == "head":
+            close()
+            head = not ending
+            continue
+        if head and (tag in ("body", "html", "br") if ending else tag not in _IN_HEAD):
+            head = False
+        if head and tag != "template":
+            continue
         if tag in OPAQUE:
-            if not ending and tag in ("script", "style"):
-                raw = _RAW[tag].search(page, end)
-                at = raw.end() if raw else len(page)
-            elif not ending and not rest.endswith("/"):
-                opaque = tag
+            if not ending and not rest.endswith("/"):
+                if ends is None:
+                    ends = _ends_of_opaque(page)
+                if begin in ends:
+                    at = ends[begin]
+                else:
+                    opaque = tag
             continue
         inline = tag in INLINE
         if not inline:

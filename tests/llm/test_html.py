@@ -38,6 +38,31 @@ def test_blocks(page, expected):
     assert texts(page) == expected
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<html><head><title>t</title><meta charset=utf-8><p>a<p>b", ["a", "b"]),
+        ("<head><title>t</title><style>p{}</style> text <b>c</b>", ["text c"]),
+        ("<head><title>t <p>x</title></head><p>a", ["a"]),
+        ("<head><title>t</title><script>'<p>'</script><body><p>a", ["a"]),
+        ("<p>a<select><option>x<option>y<p>b</p>c", ["a", "b", "c"]),
+        ("<div>a<svg><path d=''><text>x</text></div>b", ["a", "b"]),
+        ("<svg><svg>x</svg>y</svg>z", ["z"]),
+        ("<video src=v>old<div>a</div><video>no<p>no</p></video>b", ["a", "b"]),
+        ("<object><p>no</p></object><canvas>x<h1>t</h1>", ["t"]),
+        ("<audio>x<script>'<p>'</script>y<p>a", ["a"]),
+        ("<!-- </svg> --><svg>x<p>a</p>", ["a"]),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds", ["so x=2 holds"]),
+    ],
+)
+def test_unclosed_elements_do_not_take_the_page(page, expected):
+    assert texts(page) == expected
+
+
+def test_many_unclosed_elements():
+    assert len(texts("<svg>x<p>y" * 20_000)) == 20_000
+
+
 def test_paths_name_the_elements_around():
     (block,) = blocks('<div class="post Body" id=x1><section><p>t <em>u</em></p></section></div>')
     assert block.path == ("div", ".post", ".body", ".x", "section", "p")
