@@ -118,16 +118,30 @@ def known_documents(detail: DataFrame) -> DataFrame:
 
 
 def with_document(detail: DataFrame) -> DataFrame:
-    """Every row with the latest known document of its call, NULL where there is none; one pass and one shuffle.
+    """Every row with the latest known document of its call, NULL where there is none.
 
-    The maximum is a window aggregate over the rows of one call. Rows without an id are spread by their start.
+    The maximum per id is combined before its shuffle and joined back, so an id with many rows may be split.
+    Rows without an id match nothing and are spread by their start.
     """
-    doc = _latest_document().over(Window.partitionBy("calls_ivr_id", _spread()))
-    found = detail.withColumn("_doc", F.when(F.col("calls_ivr_id").isNotNull(), doc))
+    known = C.document_known(F.col("document_identification")) & F.col("calls_ivr_id").isNotNull()
+    latest = detail.where(known).groupBy("calls_ivr_id").agg(_latest_document().alias("_doc"))
     names = ("document_identification", "document_type")
+    found = _join_by_id(detail.withColumn("_spread", _spread()), latest.withColumn("_spread", F.lit(None).cast("bigint")))
     return found.withColumns({n: F.col("_doc")[n] for n in names}).drop("_doc")
 
 
+def _join_by_id(rows: DataFrame, by_id: DataFrame) -> DataFrame:
+    """Left join of rows to one row per ``calls_ivr_id`` and ``_spread``; ``_spread`` is dropped.
+
+    The keys are compared null-safe, and so are other expressions than those ``by_id`` is grouped by: the grouped rows
+    are shuffled once more, and adaptive execution may split the rows of a hot id.
+    """
+    keys = ("calls_ivr_id", "_spread")
+    right = by_id.withColumnsRenamed({k: f"_of{k}" for k in keys})
+    same = F.col("calls_ivr_id").eqNullSafe(F.col("_ofcalls_ivr_id")) & F.col("_spread").eqNullSafe(F.col("_of_spread"))
+    return rows.join(right, same, "left").drop("_spread", *(f"_of{k}" for k in keys))
+
+
 def document_known_row(detail: DataFrame) -> DataFrame:
     """Latest known document of every call, DESCONOCIDO where there is none.
 
@@ -367,24 +381,27 @@ def summary(detail: DataFrame, calls: DataFrame | None = None) -> DataFrame:
     """One row per call with every derived field.
 
     All step fields come from one aggregation by the id of the call, combined before its shuffle; the modules and
-    steps of an id belong to all rows of that id. The call's own columns ride along as a set, which has one member
-    unless an id stands for several calls. Recall neighbours are worked out on three slim columns and joined at call
-    level, never at step level; they are taken from ``calls`` (the call table) if given, so that the joins of a
-    detail that is still a plan run once.
+    steps of an id belong to all rows of that id. They are joined to the distinct call rows, of which an id may have
+    any number. Recall neighbours are worked out on three slim columns and joined at call level, never at step level.
+    Call rows and neighbours are taken from ``calls`` (the call table the detail was made of) if given, so that the
+    joins of a detail that is still a plan run once.
     """
+    source = detail if calls is None else prefix_calls(calls)
     by_id = (
-        detail.withColumns({"vdn_aggregation": C.vdn_aggregation(F.col("calls_vdn_label")), "_spread": _spread()})
+        detail.withColumn("_spread", _spread())
         .groupBy("calls_ivr_id", "_spread")
         .agg(
-            F.collect_set(F.struct(*SUMMARY_KEYS[1:])).alias("_call"),
             _latest_document().alias("doc"),
             C.best_known_text(F.col("customer_phone")).alias("customer_phone"),
             C.best_known_text(F.col("billing_account_id")).alias("billing_account_id"),
             *[expr.alias(name) for name, expr in _flags().items()],
         )
     )
-    starts = _call_starts(detail if calls is None else prefix_calls(calls)).distinct()
-    rows = by_id.select("*", F.inline("_call")).drop("_call", "_spread")
+    starts = _call_starts(source).distinct()
+    call = F.struct(*SUMMARY_KEYS[1:]).alias("_call")
+    rows = source.withColumn("vdn_aggregation", C.vdn_aggregation(F.col("calls_vdn_label")))
+    rows = rows.select("calls_ivr_id", _spread().alias("_spread"), call).distinct()
+    rows = _join_by_id(rows, by_id).select("*", "_call.*").drop("_call")
     rows = rows.withColumns(
         {
             "ivr_id": F.col("calls_ivr_id"),

@@ -91,3 +91,42 @@ def test_no_scratch_on_one_machine_of_a_cluster():
     for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError):
             shared_dir(Session(spark_master=master))
+
+
+#: So that a few thousand rows of one id count as skewed, and nothing is broadcast.
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.mark.parametrize("field", ["with_document", "summary"])
+def test_an_id_of_many_calls_is_not_gathered(spark, field):
+    from pyspark.sql import functions as F
+
+    old = {k: spark.conf.get(k, None) for k in SPLIT}
+    hot = F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 7 == 0, None).otherwise(F.col("id"))
+    rows = spark.range(0, 30_000, 1, 64).select(hot.alias("calls_ivr_id"), "id")
+    names = [*ivr.SUMMARY_KEYS[1:], "calls_vdn_label", *ivr.MODULE_COLUMNS, *ivr.STEP_COLUMNS]
+    text = {n: F.concat(F.lit(n), F.col("id").cast("string")) for n in names if n != "vdn_aggregation"}
+    text |= {"calls_start_date": F.timestamp_seconds(F.col("id")), "module_sequece": F.col("id"), "step_sequence": F.lit(1)}
+    detail = save_scratch(rows.withColumns(text), f"many_calls_{field}").drop("id")
+    try:
+        for k, v in SPLIT.items():
+            spark.conf.set(k, v)
+        out = getattr(ivr, field)(detail)
+        got = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(got) == 30_000 and "skew=true" in plan and "collect_set" not in plan
+    last = {r.document_identification for r in got if r.calls_ivr_id == -1}
+    assert last == {"document_identification29997"}
+    known = [r for r in got if r.calls_ivr_id is not None]
+    assert all(r.document_identification == f"document_identification{max(r.calls_ivr_id, 29997 * (r.calls_ivr_id < 0))}" for r in known)
