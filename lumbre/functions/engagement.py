@@ -52,8 +52,9 @@ def label(c: Column, s: Column) -> Column:
 
 
 #: The same rule in SQL text over ``c`` and ``s``, made from the constants.
-LABEL_SQL = f"""CASE WHEN s IS NULL OR c IS NULL THEN 2
-  ELSE element_at(array(0, -1, 1, 2), 1 + int(s >= {SATISFACTION_SPLIT}) + 2 * int(c >= {COMMITMENT_SPLIT})) END"""
+LABEL_SQL = f"""CASE WHEN s >= {SATISFACTION_SPLIT} AND c < {COMMITMENT_SPLIT} THEN -1
+  WHEN s < {SATISFACTION_SPLIT} AND c < {COMMITMENT_SPLIT} THEN 0
+  WHEN s < {SATISFACTION_SPLIT} AND c >= {COMMITMENT_SPLIT} THEN 1 ELSE 2 END"""
 
 
 def label_class(value: Column) -> Column:

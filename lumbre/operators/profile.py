@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumbre.operators import quantiles
+from lumbre.sources.tables import save_scratch, scratch
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -103,19 +104,22 @@ def _number_stats(df: DataFrame, columns: list[str], stats: dict[str, Callable[[
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
+def _measured(df: DataFrame, columns: list[str], stats: dict, named: dict[str, float], order: list[str]) -> DataFrame:
+    """Aggregates and quantiles per column, both from the same two scans."""
+    found = quantiles.measured(df, columns, list(named.values()), stats)
+    types = ["column string", *[f"{c} {'bigint' if c == 'count' else 'double'}" for c in order]]
+    rows = [{**m, **{name: m["p"].get(float(p)) for name, p in named.items()}} for m in found]
+    return df.sparkSession.createDataFrame([tuple(r[c] for c in ("column", *order)) for r in rows], ", ".join(types))
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max: one row per column."""
-    stats = _number_stats(
-        df, columns, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    )
-    return stats.join(quantiles.exact_wide(df, columns, QUARTILES), "column").select(
-        "column", "count", "mean", "std", "min", *QUARTILES, "max"
-    )
+    """count, mean, sample std, min, quartiles and max: one row per column, from two scans. Runs at once."""
+    stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    return _measured(df, columns, stats, QUARTILES, ["count", "mean", "std", "min", *QUARTILES, "max"])
 
 
 def mean_std_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    stats = _number_stats(df, columns, {"mean": F.avg, "std": F.stddev_samp})
-    return stats.join(quantiles.exact_wide(df, columns, {"median": 0.5}), "column")
+    return _measured(df, columns, {"mean": F.avg, "std": F.stddev_samp}, {"median": 0.5}, ["mean", "std", "median"])
 
 
 def histogram(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
@@ -144,25 +148,39 @@ def histogram(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
 def box_stats(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     """Box-plot numbers per group and column: quartiles, whisker ends, rows outside the whiskers.
 
-    Whiskers end at the outermost value within 1.5 interquartile ranges of the box.
+    Whiskers end at the outermost value within 1.5 interquartile ranges of the box. Values are counted into cells with
+    their ends; a cell wholly inside or outside the whiskers' reach is settled by these, and only the rows of the cells
+    that a bound cuts, two a group at most, are read again. No row is joined to its box.
     """
-    present = df.where(F.col(by).isNotNull())
-    boxes = quantiles.exact_wide(present, columns, QUARTILES, [by])
-    reach = (F.col("q75") - F.col("q25")) * 1.5
-    value = F.col("value")
-    inside = value.between(F.col("q25") - reach, F.col("q75") + reach)
-    return (
-        quantiles.melt(present, columns, [by])
-        .join(boxes, [by, "column"])
-        .groupBy(by, "column")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.max(q).alias(q) for q in QUARTILES],
-            F.min(F.when(inside, value)).alias("whisker_lo"),
-            F.max(F.when(inside, value)).alias("whisker_hi"),
-            F.count_if(~inside).alias("n_outliers"),
+    present, group = df.where(F.col(by).isNotNull()), [by, "column"]
+    with scratch(df.sparkSession) as scope:
+        cells = quantiles.celled(present, columns, [by])
+        rows, counted = cells
+        boxes = save_scratch(quantiles.exact_wide(present, columns, QUARTILES, [by], cells), "boxes")
+        reach = (F.col("q75") - F.col("q25")) * 1.5
+        bounds = boxes.select(*group, (F.col("q25") - reach).alias("least"), (F.col("q75") + reach).alias("most"))
+        placed = save_scratch(counted.join(bounds, group), "placed-cells")
+        inside, outside = F.expr("lo >= least and hi <= most"), F.expr("hi < least or lo > most")
+        settled = placed.groupBy(*group).agg(
+            F.sum("n").alias("n"),
+            F.min(F.when(inside, F.col("lo"))).alias("lo"),
+            F.max(F.when(inside, F.col("hi"))).alias("hi"),
+            F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("out"),
         )
-    )
+        cut = save_scratch(placed.where(~(inside | outside)).select(*group, "cell", "least", "most"), "cut-cells")
+        value = F.col("value")
+        within = value.between(F.col("least"), F.col("most"))
+        again = rows.join(cut, [*group, "cell"]).groupBy(*group).agg(
+            F.lit(0).cast("bigint").alias("n"),
+            F.min(F.when(within, value)).alias("lo"),
+            F.max(F.when(within, value)).alias("hi"),
+            F.count_if(~within).alias("out"),
+        )
+        ends = settled.unionByName(again).groupBy(*group).agg(
+            F.sum("n").alias("n"), F.min("lo").alias("whisker_lo"), F.max("hi").alias("whisker_hi"), F.sum("out").alias("n_outliers")
+        )
+        out = ends.join(boxes, group).select(*group, "n", *QUARTILES, "whisker_lo", "whisker_hi", "n_outliers")
+        return scope.keep(out)
 
 
 def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -193,10 +211,48 @@ def unique_check(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+#: Buckets that two frames are compared by; their list may be broadcast.
+DIGESTS = 4096
+
+
+def _bucketed(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.withColumn("_hash", F.xxhash64(*columns)).withColumn("_bucket", F.pmod("_hash", F.lit(DIGESTS)).cast("int"))
+
+
+def _digests(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per bucket of rows: their number, and sums and exclusive ors of two hashes, whatever the order of rows."""
+    other = F.xxhash64(F.lit(1), *columns)
+    parts = [F.col("_hash").bitwiseAND(0xFFFFFFFF), F.shiftright("_hash", 32), other.bitwiseAND(0xFFFFFFFF), F.shiftright(other, 32)]
+    sums = [F.sum(p.cast("decimal(20,0)")) for p in parts]
+    return _bucketed(df, columns).groupBy("_bucket").agg(
+        F.struct(F.count(F.lit(1)), F.bit_xor("_hash"), F.bit_xor(other), *sums).alias("digest")
+    )
+
+
+def differing_buckets(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(_bucket) of those buckets whose rows are not the same on both sides: at most ``DIGESTS`` rows.
+
+    Unequal buckets pass for equal with a chance of about 2 ** -128.
+    """
+    a, b = (_digests(df, left.columns).alias(name) for df, name in ((left, "a"), (right, "b")))
+    same = F.col("a.digest").eqNullSafe(F.col("b.digest"))
+    both = a.join(b, F.col("a._bucket") == F.col("b._bucket"), "full").where(~same)
+    return both.select(F.coalesce("a._bucket", "b._bucket").alias("_bucket"))
+
+
 def frames_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows whose number of copies differs, with the surplus of the left side; none if equal."""
-    signed = left.withColumn("surplus", F.lit(1)).unionByName(right.withColumn("surplus", F.lit(-1)))
-    return signed.groupBy(*left.columns).agg(F.sum("surplus").alias("surplus")).where("surplus <> 0")
+    """Rows whose number of copies differs, with the surplus of the left side; none if equal.
+
+    Both sides are first compared by digests of buckets of rows, made without a shuffle of the rows; only rows of
+    buckets that differ are then counted one by one.
+    """
+    columns = left.columns
+    schema = left.unionByName(right).schema
+    left, right = (df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]) for df in (left, right))
+    differing = F.broadcast(differing_buckets(left, right))
+    signed = _bucketed(left, columns).withColumn("surplus", F.lit(1)).unionByName(_bucketed(right, columns).withColumn("surplus", F.lit(-1)))
+    rows = signed.join(differing, "_bucket", "left_semi")
+    return rows.groupBy(*columns).agg(F.sum("surplus").alias("surplus")).where("surplus <> 0")
 
 
 def frames_equal(left: DataFrame, right: DataFrame) -> bool:

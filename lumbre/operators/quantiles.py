@@ -1,21 +1,35 @@
 """Exact quantiles that never bring a large column's values together in one task.
 
-Spark's ``percentile`` keeps every distinct value of a group in one task. Here values are counted into cells
-instead, the few cells holding the wanted ranks are split finer, and only the rows of a finest cell are ranked one
-by one. Each level is one scan with a bounded, map-side combined count. It is the same way at every size.
+Spark's ``percentile`` keeps every distinct value of a group in one task. Over whole columns, a mergeable sketch in
+the first scan names two values between which each wanted rank must lie; the second scan counts what is below them and
+keeps only what is inside, a few thousandths of the rows, among which the rank is found. Should a rank not lie between
+its two values after all, the second way settles it: values are counted into cells, the few cells holding the wanted
+ranks are split finer, and only the values of a finest cell are ranked one by one. Groups always go that way, as a
+sketch per group would be as large as a small group itself.
 """
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbre.sources.tables import save_scratch
+from lumbre.sources.tables import save_scratch, scratch
 
 _COARSE = 1024
 _FINE = 4096
 _START = Window.unboundedPreceding
+#: The sketch's ranks are off by a share of 1 / ACCURACY at most; brackets reach twice as far ...
+ACCURACY = 10_000
+#: ... or this far, where that is less than two rows; with fewer rows still they reach from end to end.
+WIDE = 0.02
+#: Different values of a bracket that one task ranks; a larger bracket is cut into cells first.
+ONE_TASK = 1_000_000
 
 
 def melt(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
@@ -28,6 +42,168 @@ def melt(df: DataFrame, columns: list[str], by: list[str] | None = None) -> Data
     return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def number(df: DataFrame, column: str) -> Column:
+    """A column as a double, with NaN as missing."""
+    value = F.col(column)
+    kept = F.nanvl(value, F.lit(None)) if isinstance(df.schema[column].dataType, T.FractionalType) else value
+    return kept.cast("double")
+
+
+# ---------------------------------------------------------------- whole columns: brackets from a sketch
+
+
+@dataclass
+class _Brackets:
+    """The two values around each wanted rank of a column, and what the second scan found."""
+
+    ranks: list[int]
+    pairs: list[tuple[float, float]]
+
+    def __post_init__(self) -> None:
+        self.points = sorted({x for pair in self.pairs for x in pair})
+
+    def wanted(self) -> list[int]:
+        """Cells whose values are kept: those between the two ends of a bracket. Cell 2 i + 1 is point i alone, 2 i what lies
+        before it."""
+        cells = set()
+        for lo, hi in self.pairs:
+            cells |= {2 * i for i in range(bisect_left(self.points, lo) + 1, bisect_left(self.points, hi) + 1)}
+        return sorted(cells)
+
+    def cell(self, value: Column) -> Column:
+        steps = [(value > F.lit(x)).cast("int") + (value >= F.lit(x)).cast("int") for x in self.points]
+        return sum(steps[1:], steps[0])
+
+
+def _first_scan(df: DataFrame, columns: list[str], probs: list[float], stats: dict[str, Callable[[Column], Column]]):
+    """One row: per column its count, ends, the sketch at both sides of every share, and the asked-for aggregates."""
+    at = [min(1.0, max(0.0, p + d)) for p in probs for d in (-2 / ACCURACY, 2 / ACCURACY, -WIDE, WIDE)]
+    out = []
+    for i, c in enumerate(columns):
+        x = number(df, c)
+        out += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        out.append(F.percentile_approx(x, at, ACCURACY).alias(f"at{i}"))
+        out += [fn(x).alias(f"{name}{i}") for name, fn in stats.items()]
+    return df.agg(*out).first()
+
+
+def _bracket(row, i: int, probs: list[float]) -> _Brackets:
+    n, lo, hi, at = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], row[f"at{i}"]
+    ranks, pairs = [], []
+    for j, p in enumerate(probs):
+        if n * 2 / ACCURACY >= 2:
+            pair = at[4 * j], at[4 * j + 1]
+        elif n * WIDE >= 2:
+            pair = at[4 * j + 2], at[4 * j + 3]
+        else:
+            pair = lo, hi
+        for rank in sorted({math.floor(p * (n - 1)), math.ceil(p * (n - 1))}):
+            ranks.append(rank)
+            pairs.append(pair)
+    return _Brackets(ranks, pairs)
+
+
+def _second_scan(df: DataFrame, columns: list[str], found: dict[int, _Brackets]) -> DataFrame:
+    """(c, cell, value, n): rows per column and cell, with the values themselves where the cell is wanted."""
+    each = []
+    for i, b in found.items():
+        x = number(df, columns[i])
+        cell = b.cell(x)
+        each.append(F.struct(F.lit(i).alias("c"), cell.alias("cell"), F.when(cell.isin(b.wanted()), x).alias("value")))
+    rows = df.select(F.inline(F.array(*each))).where("cell is not null")
+    return rows.groupBy("c", "cell", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _ranked(kept: DataFrame, wanted: list[tuple[int, int, int]]) -> dict[tuple[int, int, int], float]:
+    """Values at ranks inside cells, (c, cell, rank) each. Cells of very many values are cut finer until one task copes."""
+    spark = kept.sparkSession
+    rows, asked = kept.withColumn("path", F.lit("")), [(c, cell, "", k, k) for c, cell, k in wanted]
+    while True:
+        ask = spark.createDataFrame(asked, "c int, cell int, path string, k long, rank long")
+        keys = ["c", "cell", "path"]
+        rows = rows.join(F.broadcast(ask.select(*keys).distinct()), keys, "left_semi")
+        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("m"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        if all(r["m"] <= ONE_TASK for r in sizes.collect()):
+            break
+        finer = rows.join(F.broadcast(sizes), keys)
+        fine = F.when(F.col("m") > ONE_TASK, _fine_cell(F.col("value"), F.col("lo"), F.col("hi")))
+        rows = finer.withColumn("fine", F.coalesce(fine, F.lit(0))).withColumn("path", F.concat_ws(".", "path", "fine")).drop("m", "lo", "hi")
+        cells = rows.groupBy("c", "cell", F.col("path").alias("next"), F.regexp_replace("path", r"\.?[0-9]+$", "").alias("path"), "fine")
+        counted = cells.agg(F.sum("n").alias("n"))
+        order = Window.partitionBy(*keys).orderBy("fine")
+        placed = counted.withColumn("before", F.sum("n").over(order.rowsBetween(_START, 0)) - F.col("n"))
+        hit = placed.join(ask, keys).where("k >= before and k < before + n")
+        asked = [(r["c"], r["cell"], r["next"], r["k"] - r["before"], r["rank"]) for r in hit.collect()]
+        rows = rows.drop("fine")
+    placed = rows.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys).orderBy("value").rowsBetween(_START, 0)))
+    hit = placed.join(F.broadcast(ask), keys).where("k >= upto - n and k < upto")
+    return {(r["c"], r["cell"], r["rank"]): r["value"] for r in hit.collect()}
+
+
+def measured(
+    df: DataFrame, columns: list[str], probs: list[float], stats: dict[str, Callable[[Column], Column]] | None = None
+) -> list[dict]:
+    """Per column its exact quantiles (``p``: share to value) and aggregates, in two scans of the columns.
+
+    Columns without a value have no quantiles. Runs at once; the answer is as small as the list of columns.
+    """
+    stats, probs = stats or {}, [float(p) for p in probs]
+    row = _first_scan(df, columns, probs, stats)
+    brackets = {i: _bracket(row, i, probs) for i in range(len(columns)) if row[f"n{i}"]}
+    values: dict[tuple[int, int], float] = {}
+    settled: dict[int, dict[float, float]] = {}
+    open_ = {}
+    for i, b in brackets.items():
+        if row[f"lo{i}"] == row[f"hi{i}"]:
+            values |= {(i, k): row[f"lo{i}"] for k in b.ranks}
+        else:
+            open_[i] = b
+    if open_:
+        with scratch(df.sparkSession):
+            kept = save_scratch(_second_scan(df, columns, open_), "brackets")
+            counts: dict[int, dict[int, int]] = {i: {} for i in open_}
+            for r in kept.groupBy("c", "cell").agg(F.sum("n").alias("n")).collect():
+                counts[r["c"]][r["cell"]] = r["n"]
+            inside, missed = [], []
+            for i, b in open_.items():
+                for k in b.ranks:
+                    cell, k_in = _cell_of(counts[i], k)
+                    if cell % 2:
+                        values[i, k] = b.points[cell // 2]
+                    elif cell in b.wanted():
+                        inside.append((i, cell, k_in, k))
+                    else:
+                        missed.append(i)
+            if inside:
+                found = _ranked(kept, sorted({(i, cell, k_in) for i, cell, k_in, _ in inside}))
+                values |= {(i, k): found[i, cell, k_in] for i, cell, k_in, k in inside}
+        for i in sorted(set(missed)):
+            settled[i] = {r["p"]: r["value"] for r in by_cells(df, [columns[i]], probs).collect()}
+    out = []
+    for i, c in enumerate(columns):
+        n = row[f"n{i}"]
+        own = settled.get(i) or ({p: _mixed(values, i, p * (n - 1)) for p in probs} if n else {})
+        out.append({"column": c, "p": own, **{name: row[f"{name}{i}"] for name in stats}})
+    return out
+
+
+def _cell_of(counts: dict[int, int], rank: int) -> tuple[int, int]:
+    """The cell that holds a rank, and the rank in it."""
+    for cell in sorted(counts):
+        if rank < counts[cell]:
+            return cell, rank
+        rank -= counts[cell]
+    raise ValueError("rank beyond the last row")
+
+
+def _mixed(values: dict, i: int, at: float) -> float:
+    below, above, part = values[i, math.floor(at)], values[i, math.ceil(at)], at - math.floor(at)
+    return below if below == above or part == 0 else below * (1 - part) + above * part
+
+
+# ---------------------------------------------------------------- groups: cells
+
+
 def _coarse_cell(value: Column) -> Column:
     """Monotone cell number; at most 1.5 million over all doubles, about 0.1 % wide each. Each infinity has a cell
     of its own, so it is never split further."""
@@ -81,19 +257,16 @@ def _wanted_ranks(cells: DataFrame, group: list[str], probs: list[float]) -> Dat
     )
 
 
-def _settle(found: DataFrame, grouped: bool) -> DataFrame:
-    """Fix the outcome of a pass, so that the next one does not run it again.
-
-    Without groups it is two rows per column and quantile and is kept as local rows; with groups it
-    grows with their number and is written to the shared folder.
-    """
-    if grouped:
-        return save_scratch(found, "quantile-cells")
-    return found.sparkSession.createDataFrame(found.collect(), found.schema)
+def celled(df: DataFrame, columns: list[str], by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Long rows with their coarse cells, and the written count and ends of every cell of a group."""
+    rows = melt(df, columns, by).withColumn("cell", _coarse_cell(F.col("value")))
+    return rows, save_scratch(_count(rows, [*by, "column", "cell"]), "cells")
 
 
-def exact(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None) -> DataFrame:
-    """Linearly interpolated quantiles: (by ..., column, p, value). Missing values are left out.
+def by_cells(
+    df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None, cells: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
+    """Linearly interpolated quantiles: (by ..., column, p, value), from cells (those of ``celled``, if given).
 
     Runs at once, in one to three passes over the columns; a pass is skipped once every wanted rank
     lies in a cell of equal values.
@@ -101,37 +274,38 @@ def exact(df: DataFrame, columns: list[str], probs: list[float], by: list[str] |
     by = by or []
     group = [*by, "column"]
     tag = ["p", "side", "part"]
-    rows = melt(df, columns, by).withColumn("cell", _coarse_cell(F.col("value")))
-
-    first = _settle(_wanted_ranks(_count(rows, [*group, "cell"]), group, probs), bool(by))
-    found = first.where("lo = hi").select(*group, *tag, F.col("lo").alias("value"))
-    still = first.where("lo <> hi")
-    if not still.isEmpty():
-        keys = [*group, "cell"]
-        finer = (
-            _meet(rows, still.select(*keys, "lo", "hi").distinct(), keys, bool(by))
-            .withColumn("fine", _fine_cell(F.col("value"), F.col("lo"), F.col("hi")))
-            .drop("lo", "hi")
-        )
-        second = _locate(_count(finer, [*keys, "fine"]), still.select(*keys, *tag, "k"), keys, "fine")
-        second = _settle(second.select(*keys, "fine", "lo", "hi", *tag, "k"), bool(by))
-        found = found.unionByName(second.where("lo = hi").select(*group, *tag, F.col("lo").alias("value")))
-        still = second.where("lo <> hi")
+    with scratch(df.sparkSession) as scope:
+        rows, counted = cells or celled(df, columns, by)
+        first = save_scratch(_wanted_ranks(counted, group, probs), "quantile-cells")
+        found = first.where("lo = hi").select(*group, *tag, F.col("lo").alias("value"))
+        still = first.where("lo <> hi")
         if not still.isEmpty():
-            keys = [*keys, "fine"]
-            last = _meet(finer, still.select(*keys).distinct(), keys, bool(by))
-            values = last.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-            third = _locate(values, still.select(*keys, *tag, "k"), keys, "value")
-            found = found.unionByName(_settle(third.select(*group, *tag, "value"), bool(by)))
-    return (
-        found.groupBy(*group, "p")
-        .agg(
-            F.max("part").alias("part"),
-            F.max(F.when(F.col("side") == 0, F.col("value"))).alias("below"),
-            F.max(F.when(F.col("side") == 1, F.col("value"))).alias("above"),
+            keys = [*group, "cell"]
+            finer = (
+                _meet(rows, still.select(*keys, "lo", "hi").distinct(), keys)
+                .withColumn("fine", _fine_cell(F.col("value"), F.col("lo"), F.col("hi")))
+                .drop("lo", "hi")
+            )
+            second = _locate(_count(finer, [*keys, "fine"]), still.select(*keys, *tag, "k"), keys, "fine")
+            second = save_scratch(second.select(*keys, "fine", "lo", "hi", *tag, "k"), "quantile-cells")
+            found = found.unionByName(second.where("lo = hi").select(*group, *tag, F.col("lo").alias("value")))
+            still = second.where("lo <> hi")
+            if not still.isEmpty():
+                keys = [*keys, "fine"]
+                last = _meet(finer, still.select(*keys).distinct(), keys)
+                values = last.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+                third = _locate(values, still.select(*keys, *tag, "k"), keys, "value")
+                found = found.unionByName(save_scratch(third.select(*group, *tag, "value"), "quantile-cells"))
+        settled = (
+            found.groupBy(*group, "p")
+            .agg(
+                F.max("part").alias("part"),
+                F.max(F.when(F.col("side") == 0, F.col("value"))).alias("below"),
+                F.max(F.when(F.col("side") == 1, F.col("value"))).alias("above"),
+            )
+            .select(*group, "p", _between(F.col("below"), F.col("above"), F.col("part")).alias("value"))
         )
-        .select(*group, "p", _between(F.col("below"), F.col("above"), F.col("part")).alias("value"))
-    )
+        return scope.keep(save_scratch(settled, "quantiles"))
 
 
 def _between(below: Column, above: Column, part: Column) -> Column:
@@ -140,18 +314,33 @@ def _between(below: Column, above: Column, part: Column) -> Column:
     return F.when((below == above) | (part == 0), below).otherwise(mixed)
 
 
-def _meet(rows: DataFrame, cells: DataFrame, keys: list[str], grouped: bool) -> DataFrame:
-    """Rows in the wanted cells. Without groups there are at most two cells per column and quantile,
-    so they are broadcast; with groups their number grows with the data and the planner decides."""
-    return rows.join(cells if grouped else F.broadcast(cells), keys)
+def _meet(rows: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows in the wanted cells. The cells are written, so the planner knows their size, and a join that shuffles may
+    split the rows of a hot cell."""
+    return rows.join(save_scratch(cells, "quantile-wanted"), keys)
+
+
+# ---------------------------------------------------------------- both
+
+
+def exact(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None) -> DataFrame:
+    """Linearly interpolated quantiles: (by ..., column, p, value). Missing values are left out. Runs at once."""
+    if by:
+        return by_cells(df, columns, probs, by)
+    rows = [(m["column"], p, v) for m in measured(df, columns, probs) for p, v in m["p"].items()]
+    return df.sparkSession.createDataFrame(rows, "column string, p double, value double")
 
 
 def exact_wide(
-    df: DataFrame, columns: list[str], named: dict[str, float], by: list[str] | None = None
+    df: DataFrame,
+    columns: list[str],
+    named: dict[str, float],
+    by: list[str] | None = None,
+    cells: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """The same with one output column per named quantile: (by ..., column, name ...)."""
     by = by or []
-    long = exact(df, columns, list(named.values()), by)
+    long = by_cells(df, columns, list(named.values()), by, cells) if by else exact(df, columns, list(named.values()))
     return long.groupBy(*by, "column").agg(
         *[F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(name) for name, p in named.items()]
     )

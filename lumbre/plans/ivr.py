@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lumbre.functions import calls as C
 from lumbre.operators.joins import HOT_ROWS, HOT_SHARE, left_join
+from lumbre.operators.ranges import ranged
+from lumbre.sources.tables import save_scratch, scratch
 
 CALL_COLUMNS = (
     "ivr_id",
@@ -198,9 +200,6 @@ def call_flag(detail: DataFrame, name: str) -> DataFrame:
 _SECOND = 1_000_000
 _NEAR = _SECOND
 _FAR = (C.DAY_SECONDS + 1) * _SECOND - 1
-#: Seconds per stretch of a phone's history, and how far a stretch looks into its neighbours.
-STRETCH = 16 * C.DAY_SECONDS
-_REACH = C.DAY_SECONDS + 2
 
 
 def _second(u: Column) -> Column:
@@ -222,40 +221,19 @@ def attach_recall(calls: DataFrame, starts: DataFrame) -> DataFrame:
 
     ``starts`` holds these three columns for all calls (repeats do not matter). A call is repeated
     when another call of the same phone began in the 24 hours before it, and causes a recall when
-    one began after it.
-
-    No pairs are built. Starts are first summed up per phone and second, keeping the first and the
-    last one. At least one whole second apart, the nearest neighbour decides whether any neighbour
-    is in reach, and it is found with running extremes over those summaries. The window is cut into
-    stretches of days (with the rows in reach copied over the cut), so one partition never holds
-    more than a stretch of seconds, however many calls a phone has. The join back is on phone and
-    second; a hot pair of them is on the side that adaptive execution can split.
-
-    A call must not match another row of its own id. An id with a single start cannot, as a start is
-    never a second away from itself. Ids with several starts are compared with single-start ids through summary
-    columns of their own, and with each other by ``_among_several``; where there are none, adaptive execution drops
-    these branches. Nothing runs while the plan is made.
+    one began after it. Rows of its own id never count, however many starts the id has.
+
+    No pairs are built, and nothing is gathered by phone or by id. Starts are summed up per phone and second, keeping
+    the two first and the two last ones of different ids. At least one whole second apart, the nearest neighbour of
+    another id decides whether any is in reach; it is found by a scan over those summaries in ranges of bounded size
+    (``_with_neighbours``). The join back is on phone and second, which the scan is not dealt by, so adaptive execution
+    can split the calls of a hot pair.
     """
-    usable = starts.where("ivr_id is not null and phone is not null and u is not null")
-    several = (
-        usable.groupBy("ivr_id")
-        .agg(F.min("u").alias("first"), F.max("u").alias("last"))
-        .where("first <> last")
-        .select("ivr_id", F.lit(True).alias("several"))
-    )
-    marked = usable.join(several, "ivr_id", "left")
-    single = F.when(F.col("several").isNull(), F.col("u"))
-    near = _with_neighbours(_per_second(marked, {"": F.col("u"), "1": single}))
-    among = _among_several(marked.where("several").select("ivr_id", "phone", "u").distinct())
-    (any_before, any_after), (single_before, single_after) = _reached(""), _reached("1")
-    own = F.col("several")
-    before = F.when(own, single_before | F.coalesce("among_before", F.lit(False))).otherwise(any_before)
-    after = F.when(own, single_after | F.coalesce("among_after", F.lit(False))).otherwise(any_after)
-    return (
-        _join_near(calls.join(several, "ivr_id", "left").join(among, ["ivr_id", "phone", "u"], "left"), near)
-        .withColumns(_flag_columns(before, after))
-        .drop("several", "sec", "among_before", "among_after", *near.columns[2:])
-    )
+    with scratch(calls.sparkSession) as scope:
+        near = _with_neighbours(_per_second(starts))
+        joined = calls.withColumn("sec", _second(F.col("u"))).join(near, ["phone", "sec"], "left")
+        flags = _flag_columns(*(_reached(name, sign) for name, sign in WAYS.items()))
+        return scope.keep(joined.withColumns(flags).drop("sec", *WAYS))
 
 
 def _flag_columns(before: Column, after: Column) -> dict[str, Column]:
@@ -266,94 +244,140 @@ def _flag_columns(before: Column, after: Column) -> dict[str, Column]:
     }
 
 
-def _per_second(starts: DataFrame, times: dict[str, Column]) -> DataFrame:
-    """First and last start per phone and second, for each named kind of start."""
-    extremes = []
-    for kind, u in times.items():
-        extremes += [F.min(u).alias(f"lo{kind}"), F.max(u).alias(f"hi{kind}")]
-    return starts.groupBy("phone", _second(F.col("u")).alias("sec")).agg(*extremes)
+def _per_second(starts: DataFrame) -> DataFrame:
+    """(phone, sec, lo, lo2, hi, hi2): the first and the last start of a second with their ids, and the first and the
+    last one of any other id.
 
+    Two rows per second are kept by rank, which Spark limits before the shuffle as well, so a second with very many
+    ids sends two rows per task.
+    """
+    usable = starts.where("ivr_id is not null and phone is not null and u is not null")
+    per_id = usable.groupBy("phone", _second(F.col("u")).alias("sec"), "ivr_id").agg(F.min("u").alias("lo"), F.max("u").alias("hi"))
+    second = Window.partitionBy("phone", "sec")
+    ends = []
+    for name, order in (("lo", F.col("lo").asc()), ("hi", F.col("hi").desc())):
+        ranked = per_id.withColumn("n", F.row_number().over(second.orderBy(order, "ivr_id"))).where("n <= 2")
+        end = F.struct(F.col(name).alias("u"), "ivr_id")
+        ends.append(ranked.select("phone", "sec", F.lit(name).alias("end"), "n", end.alias("at")))
+
+    def kept(end: str, n: int) -> Column:
+        return F.max(F.when((F.col("end") == end) & (F.col("n") == n), F.col("at")))
+
+    return ends[0].unionByName(ends[1]).groupBy("phone", "sec").agg(
+        kept("lo", 1).alias("lo"), kept("lo", 2)["u"].alias("lo2"), kept("hi", 1).alias("hi"), kept("hi", 2)["u"].alias("hi2")
+    )
 
-def _join_near(calls: DataFrame, near: DataFrame) -> DataFrame:
-    return calls.withColumn("sec", _second(F.col("u"))).join(near, ["phone", "sec"], "left")
 
+#: The two ways to look, and the sign of time: looking ahead is looking back in negated time.
+WAYS = {"before": 1, "after": -1}
 
-def _reached(kind: str) -> tuple[Column, Column]:
-    """Whether a start of this kind lies within reach before and after ``u``."""
-    u = F.col("u")
-    before = (F.col(f"before_lo{kind}") <= u - _NEAR) | (F.col(f"before_hi{kind}") >= u - _FAR)
-    after = (F.col(f"after_hi{kind}") >= u + _NEAR) | (F.col(f"after_lo{kind}") <= u + _FAR)
-    return before, after
 
+def _facing(sign: int) -> dict[str, Column]:
+    """A second's summary in signed time: ``first`` and ``last`` start with their ids, those of any other id."""
 
-def _stretched(df: DataFrame, sec: Column) -> DataFrame:
-    """Rows under every stretch they matter to; ``own`` is true in the stretch they belong to."""
-    offset = F.pmod(sec, F.lit(STRETCH))
-    stretch = ((sec - offset) / STRETCH).cast("bigint")
-    places = F.array_compact(
-        F.array(
-            stretch,
-            F.when(offset >= STRETCH - _REACH, stretch + 1),
-            F.when(offset < _REACH, stretch - 1),
-        )
+    def signed(end: str) -> tuple[Column, Column]:
+        return F.struct((sign * F.col(f"{end}.u")).alias("u"), F.col(f"{end}.ivr_id").alias("ivr_id")), sign * F.col(f"{end}2")
+
+    low, high = ("lo", "hi") if sign > 0 else ("hi", "lo")
+    (first, first_other), (last, last_other) = signed(low), signed(high)
+    return {"t": sign * F.col("sec"), "first": first, "first_other": first_other, "last": last, "last_other": last_other}
+
+
+def _state(top: Column, other: Column) -> Column:
+    """The last start so far with its id, and the last one of any other id."""
+    return F.struct(top.alias("top"), other.alias("other"))
+
+
+def _continued(came: Column, state: Column) -> Column:
+    """A state of later rows, after the state ``came`` of those before them."""
+    earlier = F.when(came["top"]["ivr_id"] != state["top"]["ivr_id"], came["top"]["u"]).otherwise(came["other"])
+    return F.when(state.isNull(), came).when(came.isNull(), state).otherwise(
+        _state(state["top"], F.coalesce(state["other"], earlier))
+    )
+
+
+def _turns(top: Column, other: Column, before: Column) -> Column:
+    """Where the last start of another id changes: to one in this row, or to the row before if that has another id."""
+    return F.coalesce(other, F.when(before["ivr_id"] != top["ivr_id"], before["u"]))
+
+
+def _looked_back(ranges: DataFrame, name: str, sign: int) -> DataFrame:
+    """What each second sees behind it within its range: states one and two rows back, and the row beside it."""
+    own = _facing(sign)
+    walk = Window.partitionBy("part", "phone").orderBy("_t")
+    upto = walk.rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranges.withColumns({f"_{k}": v for k, v in own.items()})
+    rows = rows.withColumn("_turn", _turns(F.col("_last"), F.col("_last_other"), F.lag("_last").over(walk)))
+    rows = rows.withColumn("_state", _state(F.col("_last"), F.last("_turn", ignorenulls=True).over(upto)))
+    beside = F.struct(F.col("_t").alias("t"), F.col("_first").alias("first"), F.col("_first_other").alias("other"))
+    here = F.struct(
+        F.lag("_state").over(walk).alias("one"),
+        F.lag("_state", 2).over(walk).alias("two"),
+        F.lag(beside).over(walk).alias("beside"),
+        F.when(F.lead("_t").over(walk).isNull(), F.struct(F.col("_state").alias("state"), beside.alias("beside"))).alias("end"),
     )
-    return df.withColumn("stretch", F.explode(places)).withColumn("own", F.col("stretch") == stretch)
+    return rows.withColumn(name, here).drop("_turn", "_state", *(f"_{k}" for k in own))
+
+
+def _carries(local: DataFrame, name: str, sign: int) -> DataFrame:
+    """What comes into each range of a phone that goes on from the range before it: one row per such range."""
+    end, over = F.col(f"{name}.end"), Window.partitionBy("phone").orderBy("_at")
+    ends = local.where(end.isNotNull()).select(
+        "phone", "part", (sign * F.col("part")).alias("_at"), end["state"].alias("state"), end["beside"].alias("beside"), F.col(f"{name}.one").alias("one")
+    )
+    turn = _turns(F.col("state.top"), F.col("state.other"), F.lag("state.top").over(over))
+    ends = ends.withColumn("_turn", turn)
+    other = F.last("_turn", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, 0))
+    ends = ends.withColumn("_whole", _state(F.col("state.top"), other))
+    ends = ends.withColumn("came", F.lag("_whole").over(over))
+    ends = ends.withColumn("_but_last", _continued(F.col("came"), F.col("one")))
+    carry = F.struct("came", F.lag("_but_last").over(over).alias("but_last"), F.lag("beside").over(over).alias("beside"))
+    return ends.withColumn(f"{name}_carry", carry).where("came is not null").select("part", "phone", f"{name}_carry")
 
 
 def _with_neighbours(seconds: DataFrame) -> DataFrame:
-    """Extremes of the seconds before and after each second of a phone.
+    """(phone, sec, before, after): for each second and way to look the second next to it, if there is one, and the
+    nearest starts of two different ids at least two seconds away.
 
-    Only frames that grow with the row are used (they cost one step per row); looking ahead is
-    looking back in descending order.
+    A scan in segments: seconds are dealt into ranges of about equal size by phone and time, each range is scanned by
+    itself, the states at the ends of ranges are scanned once more (as many rows as a phone has ranges), and what
+    comes into a range is put before the states inside. So one phone may hold any share of the calls.
     """
-    kinds = [c.removeprefix("lo") for c in seconds.columns if c.startswith("lo")]
-    ahead = Window.partitionBy("phone", "stretch").orderBy("sec")
-    back = Window.partitionBy("phone", "stretch").orderBy(F.desc("sec"))
-    begin = Window.unboundedPreceding
-    before, after = {}, {}
-    for k in kinds:
-        before[f"before_lo{k}"] = F.min(f"lo{k}").over(ahead.rangeBetween(-1, -1))
-        before[f"before_hi{k}"] = F.max(f"hi{k}").over(ahead.rangeBetween(begin, -2))
-        after[f"after_hi{k}"] = F.max(f"hi{k}").over(back.rangeBetween(-1, -1))
-        after[f"after_lo{k}"] = F.min(f"lo{k}").over(back.rangeBetween(begin, -2))
-    columns = {**before, **after}
-    return _stretched(seconds, F.col("sec")).withColumns(columns).where("own").select("phone", "sec", *columns)
-
-
-def _among_several(rows: DataFrame) -> DataFrame:
-    """Whether a row of another id is in reach, counting only ids that have several starts.
-
-    Walking a phone's rows in time, ``other`` is the last start whose id differs from the row's own.
-    The latest row at least a second away then decides: it counts itself if it has another id,
-    otherwise its ``other`` does. All frames are running ones; looking ahead walks negated time. A
-    partition holds only such rows of one phone and stretch.
-    """
-    out = _stretched(rows, _second(F.col("u")))
-    part = Window.partitionBy("phone", "stretch")
-    begin = Window.unboundedPreceding
-    for hit, time in (("among_before", F.col("u")), ("among_after", -F.col("u"))):
-        walk = part.orderBy("t", "ivr_id")
-        out = (
-            out.withColumn("t", time)
-            .withColumn("changed", F.when(F.lag("ivr_id").over(walk) != F.col("ivr_id"), F.lag("t").over(walk)))
-            .withColumn("other", F.last("changed", ignorenulls=True).over(walk.rowsBetween(begin, 0)))
-            .withColumn(
-                "row", F.max(F.struct("t", "ivr_id", "other")).over(part.orderBy("t").rangeBetween(begin, -_NEAR))
-            )
-            .withColumn(
-                "nearest",
-                F.when(F.col("row.ivr_id") != F.col("ivr_id"), F.col("row.t")).otherwise(F.col("row.other")),
-            )
-            .withColumn(hit, F.col("nearest") >= F.col("t") - _FAR)
-        )
-    return out.where("own").select("ivr_id", "phone", "u", "among_before", "among_after")
+    local = ranged(seconds, ["phone", "sec"])
+    for name, sign in WAYS.items():
+        local = _looked_back(local, name, sign)
+    local = save_scratch(local.select("phone", "sec", "part", *WAYS), "recall-local")
+    out = local
+    for name, sign in WAYS.items():
+        out = out.join(_carries(local, name, sign), ["part", "phone"], "left")
+    for name, sign in WAYS.items():
+        here, carry = F.col(name), F.col(f"{name}_carry")
+        beside = F.coalesce(here["beside"], carry["beside"])
+        one = _continued(carry["came"], here["one"])
+        two = F.when(here["one"].isNull(), carry["but_last"]).otherwise(_continued(carry["came"], here["two"]))
+        adjacent = beside["t"] == sign * F.col("sec") - 1
+        out = out.withColumn(name, F.struct(F.when(adjacent, beside).alias("beside"), F.when(adjacent, two).otherwise(one).alias("far")))
+    return out.select("phone", "sec", *WAYS)
+
+
+def _reached(name: str, sign: int) -> Column:
+    """Whether a start of another id lies within reach on this side of a call."""
+    u, seen = sign * F.col("u"), F.col(name)
+
+    def of_another(top: Column, other: Column) -> Column:
+        return F.when(top["ivr_id"] != F.col("ivr_id"), top["u"]).otherwise(other)
+
+    beside = of_another(seen["beside"]["first"], seen["beside"]["other"]) <= u - _NEAR
+    far = of_another(seen["far"]["top"], seen["far"]["other"]) >= u - _FAR
+    return F.coalesce(beside, F.lit(False)) | F.coalesce(far, F.lit(False))
 
 
 def recall_24h(detail: DataFrame) -> DataFrame:
     """Both recall flags per call id, 0 for calls that match nothing. Of the detail only the call columns are used;
     where it is a plan of joins, give the call table itself (``prefix_calls``)."""
-    starts = _call_starts(detail).distinct()
-    flagged = attach_recall(starts, starts)
+    with scratch(detail.sparkSession) as scope:
+        starts = save_scratch(_call_starts(detail).distinct(), "starts")
+        flagged = scope.keep(attach_recall(starts, starts))
     return flagged.groupBy(F.col("ivr_id").alias("calls_ivr_id")).agg(
         F.max("repeated_phone_24H").alias("repeated_phone_24H"),
         F.max("cause_recall_phone_24H").alias("cause_recall_phone_24H"),

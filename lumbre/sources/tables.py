@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import contextvars
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lumbre.session import prepare, scratch_path
 
+_SCOPE: contextvars.ContextVar[Scratch | None] = contextvars.ContextVar("scratch", default=None)
+
 
 def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One parquet table of a folder, lazily."""
@@ -29,8 +35,78 @@ def save(df: DataFrame, path: str) -> DataFrame:
 
 
 def save_scratch(df: DataFrame, name: str) -> DataFrame:
-    """``save`` below the shared folder of the session."""
-    return save(df, scratch_path(df.sparkSession, name))
+    """``save`` below the shared folder of the session; inside ``scratch`` the folder ends with the scope."""
+    path, scope = scratch_path(df.sparkSession, name), _SCOPE.get()
+    if scope is not None:
+        scope.paths.append(path)
+    return save(df, path)
+
+
+class Scratch:
+    """The scratch folders written while this scope is the innermost one."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths, self.kept = spark, [], set()
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Let the folders that ``df`` reads outlive the scope: they pass to the scope around it, if there is one."""
+        self.kept |= _folders_of(df, self.paths)
+        return df
+
+    def drop(self, df: DataFrame) -> None:
+        """Remove the folders of this scope that ``df`` reads, once what was made of it is written."""
+        gone = _folders_of(df, self.paths)
+        self._remove(gone)
+        self.paths = [p for p in self.paths if p not in gone]
+
+    def _remove(self, paths: set[str]) -> None:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        for path in paths:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
+def _folders_of(df: DataFrame, paths: list[str]) -> set[str]:
+    """Those of ``paths`` that the plan of ``df`` reads; all of them if the plan has leaves that do not tell."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    roots, told = set(), ("LocalRelation", "OneRowRelation", "Range", "LogicalRDD")
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        kind = leaf.getClass().getSimpleName()
+        if kind == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            found = leaf.relation().location().rootPaths()
+            roots |= {found.apply(i).toUri().getPath() for i in range(found.size())}
+        elif kind not in told:
+            return set(paths)
+    return {p for p in paths if any(r == _plain(p) or r.startswith(_plain(p) + "/") for r in roots)}
+
+
+def _plain(path: str) -> str:
+    """A path without scheme and host."""
+    rest = path.split("://", 1)[-1] if "://" in path else path.removeprefix("file:")
+    return "/" + rest.split("/", 1)[-1] if "://" in path else rest
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """A scope that owns the scratch folders written in it and removes them at its end, also when it fails.
+
+    What a result still has to read is named with ``keep``. Folders go only after their last reader has run: hand out
+    of a scope nothing lazy that was not kept.
+    """
+    scope, outer = Scratch(spark), _SCOPE.get()
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    except BaseException:
+        scope.kept = set()
+        raise
+    finally:
+        _SCOPE.reset(token)
+        scope._remove({p for p in scope.paths if p not in scope.kept})
+        if outer is not None:
+            outer.paths.extend(p for p in scope.paths if p in scope.kept)
 
 
 def save_bucketed(df: DataFrame, table: str, buckets: int, *keys: str, path: str | None = None) -> DataFrame:
@@ -41,9 +117,46 @@ def save_bucketed(df: DataFrame, table: str, buckets: int, *keys: str, path: str
     return df.sparkSession.table(table)
 
 
+#: Versions of a named table that stay: the one its name points to, and the one before for those who still read it.
+VERSIONS = 2
+
+
 def replace_table(df: DataFrame, table: str, *keys: str) -> DataFrame:
-    """Replace a named table by ``df``, in as many buckets as shuffles have partitions, with new files in the shared
-    folder: who still reads the old table is not disturbed."""
+    """Replace a named table by ``df``, in as many buckets as shuffles have partitions.
+
+    The rows go into a new version (a table of its own, with files in the shared folder); then the name, a view, is
+    pointed at it in one change of the catalog. A failed write leaves the name as it was, and who reads the version
+    before is not disturbed; older ones are dropped with their files.
+    """
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return save_bucketed(df, table, buckets, *keys, path=scratch_path(spark, table))
+    path = scratch_path(spark, table)
+    version = f"{table}__{path.rsplit('-', 1)[1]}"
+    try:
+        save_bucketed(df, version, buckets, *keys, path=path)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+        Scratch(spark)._remove({path})
+        raise
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {table}")  # a plain table of that name has no versions
+    versions = [*_versions(spark, table), version]
+    noted, columns = ",".join(versions[-VERSIONS:]), ", ".join(f"`{c}`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('versions' = '{noted}') AS SELECT {columns} FROM {version}")
+    for old in versions[:-VERSIONS]:
+        Scratch(spark)._remove({_location(spark, old)})
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return spark.table(table)
+
+
+def _versions(spark: SparkSession, table: str) -> list[str]:
+    """Versions of a named table, oldest first, as its view notes them."""
+    if not spark.catalog.tableExists(table):
+        return []
+    noted = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return noted["versions"].split(",") if "versions" in noted else []
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]

@@ -40,7 +40,7 @@ LAST_DOCUMENT = """documentation AS (
   FROM (SELECT calls_ivr_id,
                arg_max({'document_identification': document_identification, 'document_type': document_type},
                        (module_sequece, step_sequence)) AS last
-        FROM ivr_detail WHERE NOT list_contains(['UNKNOWN', 'DESCONOCIDO'], document_identification) GROUP BY ALL))"""
+        FROM ivr_detail WHERE document_identification NOT IN ('UNKNOWN', 'DESCONOCIDO') GROUP BY ALL))"""
 
 SUMMARY_SQL = with_tables(
     f"""WITH {LAST_DOCUMENT},
@@ -85,14 +85,14 @@ def detail(spark: SparkSession, folder: str) -> DataFrame:
 
 @case("sink_ctas_detail", DETAIL_SQL)
 def sink_ctas_detail(spark: SparkSession, folder: str) -> DataFrame:
-    return replace_table(ivr_detail(spark, folder), "ivr_detail", "calls_ivr_id")
+    return replace_table(ivr_detail(spark, folder), "ivr_detail_sink", "calls_ivr_id")
 
 
 @case("sink_ctas_summary", SUMMARY_SQL)
 def sink_ctas_summary(spark: SparkSession, folder: str) -> DataFrame:
     # Tables under their names; the summary groups the bucketed detail without a shuffle of it.
-    saved = replace_table(ivr_detail(spark, folder), "ivr_detail", "calls_ivr_id")
-    return replace_table(ivr.summary(saved, ivr_calls(spark, folder)), "ivr_summary", "calls_ivr_id")
+    saved = replace_table(ivr_detail(spark, folder), "ivr_summary_source", "calls_ivr_id")
+    return replace_table(ivr.summary(saved, ivr_calls(spark, folder)), "ivr_summary_sink", "calls_ivr_id")
 
 
 @case(
@@ -221,10 +221,12 @@ def filter_between(spark: SparkSession, folder: str) -> DataFrame:
 @case(
     "document_best_row",
     with_tables(
-        """SELECT CAST(calls_ivr_id AS VARCHAR) AS ivr_id, document_identification, document_type FROM ivr_detail
-           QUALIFY row_number() OVER (PARTITION BY calls_ivr_id ORDER BY
-             CASE WHEN document_identification NOT IN ('UNKNOWN', 'DESCONOCIDO') THEN 1 ELSE 0 END DESC,
-             module_sequece DESC NULLS LAST, step_sequence DESC NULLS LAST) = 1""",
+        """SELECT CAST(calls_ivr_id AS VARCHAR) AS ivr_id, best.document_identification, best.document_type
+           FROM (SELECT calls_ivr_id,
+                        arg_max({'document_identification': document_identification, 'document_type': document_type},
+                                (coalesce(document_identification NOT IN ('UNKNOWN', 'DESCONOCIDO'), false),
+                                 coalesce(module_sequece, -1), coalesce(step_sequence, -1))) AS best
+                 FROM ivr_detail GROUP BY calls_ivr_id)""",
         "ivr_detail",
     ),
 )

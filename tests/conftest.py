@@ -23,3 +23,17 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session settings until the test ends."""
+    old = {}
+
+    def put(key, value):
+        old.setdefault(key, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in old.items():
+        spark.conf.set(key, value) if value is not None else spark.conf.unset(key)

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lumbre.operators import ranges
 from lumbre.plans import ivr
 
 T0 = dt.datetime(2024, 3, 1, 12, 0, 0)
@@ -32,6 +33,21 @@ def computed(spark, rows):
     return {r[0]: (r[1], r[2]) for r in df.collect()}
 
 
+#: Settings under which joins of small tables are split, so that a test can see it.
+SPLIT_SOON = {
+    "adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "adaptive.advisoryPartitionSizeInBytes": "16k",
+    "adaptive.coalescePartitions.enabled": "false",
+    "autoBroadcastJoinThreshold": "-1",
+    "adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+def many_ranges(monkeypatch, per_task):
+    monkeypatch.setattr(ranges, "RANGES_PER_TASK", per_task)
+
+
 def start(seconds):
     return T0 + dt.timedelta(seconds=seconds)
 
@@ -70,8 +86,8 @@ def test_an_id_does_not_match_itself(spark):
 
 @pytest.mark.parametrize("seed", range(6))
 def test_random_calls(spark, seed, monkeypatch):
-    """Few phones, ids with several starts, starts near each other and near stretch cuts."""
-    monkeypatch.setattr(ivr, "STRETCH", 2 * 86400)
+    """Few phones, ids with several starts, starts near each other, ranges of a few seconds of a phone."""
+    many_ranges(monkeypatch, 1 + 8 * seed)
     rng = random.Random(seed)
     rows = []
     for _ in range(150):
@@ -108,3 +124,33 @@ def test_summary_flags_belong_to_the_start(spark):
         for r in ivr.summary(df).collect()
     }
     assert got == {(1, start(0)): (0, 1), (1, start(3 * 86400)): (0, 0), (2, start(100)): (1, 0)}
+
+
+@pytest.mark.parametrize("per_task", [1, 6, 30])
+def test_same_id_over_many_ranges(spark, monkeypatch, per_task):
+    """Neighbours of another id that lie several ranges away, with ranges of one id only between."""
+    many_ranges(monkeypatch, per_task)
+    calls = [(1, "600", start(0))] + [(2, "600", start(3 * k + 0.5 * (k % 2))) for k in range(1, 25)] + [(3, "600", start(90))]
+    calls += [(4, "601", start(k)) for k in range(20)] + [(5, "602", start(86400 * k / 7)) for k in range(20)] + [(6, "602", start(86400))]
+    assert computed(spark, calls) == pairwise(calls)
+
+
+def test_one_phone_and_one_id_do_not_fill_a_task(spark, conf):
+    """A phone of a third of the calls, and an id of a third: ranges are even, and the join of the calls is split."""
+    n = 60_000
+    kind = F.col("id") % 3
+    calls = spark.range(n).select(
+        F.when(kind == 0, F.lit(-1)).otherwise(F.col("id")).alias("ivr_id"),
+        F.when(kind == 1, F.lit("hot")).otherwise(F.concat(F.lit("p"), (F.col("id") % 9000).cast("string"))).alias("phone"),
+        (F.lit(1_700_000_000_000_000) + F.col("id") * 1_300_000).alias("u"),
+    )
+    seconds = ivr._per_second(calls)
+    sizes = [r["count"] for r in ranges.ranged(seconds, ["phone", "sec"]).groupBy("part").count().collect()]
+    assert len(sizes) >= 32 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+    third = F.col("ivr_id") % 3 == 2
+    hot_second = calls.withColumns({"u": F.when(third, F.lit(1_700_000_000_000_000)).otherwise(F.col("u")), "phone": F.when(third, "hot").otherwise(F.col("phone"))})
+    for key, value in SPLIT_SOON.items():
+        conf(f"spark.sql.{key}", value)
+    out = ivr.attach_recall(hot_second.withColumn("more", F.sha2(F.col("ivr_id").cast("string"), 256)), hot_second)
+    out.collect()
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
