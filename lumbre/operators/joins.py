@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import functools
+import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumbre.sources.tables import save_scratch, scratch
+
 #: A key is hot when it holds more than this share of the rows, so there are at most 1000 of them ...
 HOT_SHARE = 0.001
 #: ... and more than this many rows; below it one task copes and no salting is wanted.
@@ -78,9 +81,52 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return functools.reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
 
 
+#: Bits per key of the bitmaps that rows are looked up in first; one in so many of the other rows passes.
+BITS_PER_KEY = 16
+#: Bits of one bitmap, as Spark's bitmap functions have it.
+_BITMAP_BITS = 32768
+
+
+def key_bitmaps(keys: DataFrame, on: list[str], n: int) -> tuple[DataFrame, Column, Column]:
+    """Bitmaps of hashed keys by bucket, and for a row its bucket and its place in the bucket's bitmap."""
+    bits = max(_BITMAP_BITS, 1 << math.ceil(math.log2(max(1, n) * BITS_PER_KEY)))
+    spot = F.pmod(F.xxhash64(*on), F.lit(bits)) + 1
+    bucket, place = F.bitmap_bucket_number(spot), F.bitmap_bit_position(spot)
+    maps = keys.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(place).alias("_bitmap"))
+    return maps, bucket, place
+
+
+def _bit(bitmap: Column, place: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(bitmap, (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (place % 8).cast("int"))
+
+
 def keep_matching(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys`` (semi join on the distinct keys)."""
-    return df.join(keys.select(*on).distinct(), on, "left_semi")
+    """Rows of ``df`` whose key is in ``keys`` (NULL keys match nothing), each as often as it is there.
+
+    The distinct keys are written, so that their size is known and, where the join shuffles, adaptive execution can
+    split the rows of a hot key. Hashed keys also make bitmaps, two bytes a key; while these fit under the session's
+    broadcast threshold, rows are looked up in them before anything is shuffled, and only those that may match are
+    joined. Larger key sets are joined straight away.
+    """
+    spark = df.sparkSession
+    with scratch(spark) as scope:
+        known = save_scratch(keys.select(*on).dropna().distinct(), "keys")
+        n = known.count()
+        rows = df
+        if 0 < n * BITS_PER_KEY / 8 * 2 <= _broadcast_limit(spark):
+            maps, bucket, place = key_bitmaps(known, on, n)
+            maps = F.broadcast(save_scratch(maps, "bitmaps"))
+            rows = df.withColumn("_at", bucket).join(maps, F.col("_at") == F.col("_bucket")).where(_bit(F.col("_bitmap"), place) == 1)
+            rows = rows.drop("_at", "_bucket", "_bitmap")
+        renamed = known.withColumnsRenamed({k: f"_key_{k}" for k in on})
+        same = functools.reduce(lambda a, b: a & b, (F.col(k) == F.col(f"_key_{k}") for k in on))
+        return scope.keep(rows.join(renamed, same, "left_semi"))
+
+
+def _broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes; 0 where it is off."""
+    return max(0, int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()))
 
 
 def update_from(df: DataFrame, updates: DataFrame, on: str, columns: list[str]) -> DataFrame:

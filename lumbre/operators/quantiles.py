@@ -70,9 +70,16 @@ class _Brackets:
             cells |= {2 * i for i in range(bisect_left(self.points, lo) + 1, bisect_left(self.points, hi) + 1)}
         return sorted(cells)
 
-    def cell(self, value: Column) -> Column:
-        steps = [(value > F.lit(x)).cast("int") + (value >= F.lit(x)).cast("int") for x in self.points]
-        return sum(steps[1:], steps[0])
+    def cell(self, value: Column, first: int = 0, last: int | None = None) -> Column:
+        """The cell of a value, by halving the points."""
+        last = len(self.points) if last is None else last
+        if first == last:
+            return F.lit(2 * first)
+        mid = (first + last) // 2
+        point = F.lit(self.points[mid])
+        return F.when(value < point, self.cell(value, first, mid)).when(value == point, 2 * mid + 1).when(
+            value.isNotNull(), self.cell(value, mid + 1, last)
+        )
 
 
 def _first_scan(df: DataFrame, columns: list[str], probs: list[float], stats: dict[str, Callable[[Column], Column]]):
@@ -105,13 +112,14 @@ def _bracket(row, i: int, probs: list[float]) -> _Brackets:
 
 def _second_scan(df: DataFrame, columns: list[str], found: dict[int, _Brackets]) -> DataFrame:
     """(c, cell, value, n): rows per column and cell, with the values themselves where the cell is wanted."""
+    rows = df.select(*[number(df, columns[i]).alias(f"x{i}") for i in found])
+    rows = rows.select("*", *[b.cell(F.col(f"x{i}")).alias(f"cell{i}") for i, b in found.items()])
     each = []
     for i, b in found.items():
-        x = number(df, columns[i])
-        cell = b.cell(x)
-        each.append(F.struct(F.lit(i).alias("c"), cell.alias("cell"), F.when(cell.isin(b.wanted()), x).alias("value")))
-    rows = df.select(F.inline(F.array(*each))).where("cell is not null")
-    return rows.groupBy("c", "cell", "value").agg(F.count(F.lit(1)).alias("n"))
+        kept = F.when(F.col(f"cell{i}").isin(b.wanted()), F.col(f"x{i}"))
+        each.append(F.struct(F.lit(i).alias("c"), F.col(f"cell{i}").alias("cell"), kept.alias("value")))
+    long = rows.select(F.inline(F.array(*each))).where("cell is not null")
+    return long.groupBy("c", "cell", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _ranked(kept: DataFrame, wanted: list[tuple[int, int, int]]) -> dict[tuple[int, int, int], float]:

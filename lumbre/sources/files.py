@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,26 +32,48 @@ POI_SCHEMA = T.StructType(
 _QUOTING = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """CSV with a header under a given schema; quoted texts may hold line breaks.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, escaped: bool = False) -> DataFrame:
+    """CSV with a header under a given schema.
 
-    Files that may hold them cannot be split, so each is read by one task; ``write_csv`` writes many small ones.
-    ``multi_line=False`` is for large files known to have no such breaks.
+    Quoted texts of a foreign file may hold line breaks, so such a file cannot be split and is read by one task. Files
+    that ``write_csv`` made have their breaks escaped (``escaped``): they are cut into as many tasks as their size asks for.
     """
-    return prepare(spark).read.schema(schema).options(**_QUOTING, multiLine=str(multi_line).lower()).csv(path)
+    rows = prepare(spark).read.schema(schema).options(**_QUOTING, multiLine=str(not escaped).lower()).csv(path)
+    texts = [f.name for f in schema if isinstance(f.dataType, T.StringType)] if escaped else []
+    return rows.withColumns({c: _unescaped(F.col(c)) for c in texts}) if texts else rows
 
 
 #: Rows per file at most.
 ROWS_PER_FILE = 200_000
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; array columns become list literals. Each task writes files of bounded length."""
-    arrays = {f.name: sets.literal(F.col(f.name)) for f in df.schema if isinstance(f.dataType, T.ArrayType)}
-    out = df.withColumns(arrays) if arrays else df
+def write_csv(df: DataFrame, path: str, escaped: bool = True) -> None:
+    """CSV with a header; array columns become list literals. Each task writes files of bounded length.
+
+    Line breaks and backslashes of texts are escaped (``\\n``, ``\\r``, ``\\\\``), so that a line is a row. Without
+    ``escaped`` they stand as they are, in quotes, for readers that expect them so.
+    """
+    texts = {f.name: F.col(f.name) for f in df.schema if isinstance(f.dataType, T.StringType)}
+    texts |= {f.name: sets.literal(F.col(f.name)) for f in df.schema if isinstance(f.dataType, T.ArrayType)}
+    out = df.withColumns({c: _escaped(x) if escaped else x for c, x in texts.items()}) if texts else df
     out.write.mode("overwrite").options(**_QUOTING).option("maxRecordsPerFile", ROWS_PER_FILE).csv(path)
 
 
+def _escaped(text: Column) -> Column:
+    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def _unescaped(text: Column) -> Column:
+    """Pairs of backslashes cut the text; between them a backslash stands for a break with the letter after it."""
+
+    def breaks(part: Column) -> Column:
+        return F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    return F.array_join(F.transform(F.split(text, r"\\\\"), breaks), "\\")
+
+
 def read_images(spark: SparkSession, folder: str) -> DataFrame:
     """(main_image_path relative to ``folder``, image) of every image below it."""
     images = prepare(spark).read.format("image").option("recursiveFileLookup", "true").load(folder)

@@ -29,7 +29,7 @@ METRIC_LIST = '"Visits", "Likes", "Dislikes", "Bookmarks"'
 def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(prepare(spark), "poi_raw_csv")
     write_csv(poi_raw(spark, folder).drop("ord"), path)
-    rows = entities.parse_sets(read_csv(spark, path, POI_SCHEMA), "categories", "tags")
+    rows = entities.parse_sets(read_csv(spark, path, POI_SCHEMA, escaped=True), "categories", "tags")
     return rounded(flat(rows))
 
 
@@ -37,7 +37,7 @@ def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
 def sink_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(prepare(spark), "poi_clean_csv")
     write_csv(poi(spark, folder), path)
-    rows = entities.parse_sets(read_csv(spark, path, POI_SCHEMA), "categories", "tags")
+    rows = entities.parse_sets(read_csv(spark, path, POI_SCHEMA, escaped=True), "categories", "tags")
     return rounded(flat(rows))
 
 

@@ -5,10 +5,12 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from split_soon import SPLIT_SOON
 
 from lumbre.functions import engagement as E
 from lumbre.functions import sets
-from lumbre.operators import entities, geo, split
+from lumbre.operators import entities, geo, joins, split
 from lumbre.plans import poi as plan
 from lumbre.sources.files import POI_SCHEMA, read_csv, write_csv
 
@@ -179,7 +181,7 @@ def test_csv_keeps_line_breaks_and_quotes(spark, tmp_path):
     rows = [("a", 'one\ntwo, "three"\n'), ("b", "\n"), ("c", 'plain "q"'), ("d", "it's"), ("e", None)]
     df = spark.createDataFrame(rows, "id string, name string")
     write_csv(df.repartition(2), str(tmp_path / "breaks"))
-    again = read_csv(spark, str(tmp_path / "breaks"), df.schema).collect()
+    again = read_csv(spark, str(tmp_path / "breaks"), df.schema, escaped=True).collect()
     assert sorted((r["id"], r["name"]) for r in again) == sorted(rows)
 
 
@@ -205,6 +207,65 @@ def test_csv_round_trip_and_input_order(spark, tmp_path):
     assert [r["id"] for r in rows] == ["a", "b"] and rows[0]["name"] == 'Say "hi", all' and rows[1]["shortDescription"] is None
     cleaned = plan.clean(raw)
     write_csv(cleaned, str(tmp_path / "out"))
-    again = entities.parse_sets(read_csv(spark, str(tmp_path / "out"), POI_SCHEMA), "categories", "tags")
+    again = entities.parse_sets(read_csv(spark, str(tmp_path / "out"), POI_SCHEMA, escaped=True), "categories", "tags")
     assert sorted(again.collect()) == sorted(cleaned.collect())
     assert sorted(again.collect())[0]["categories"] == ["Cine", "L'H"]
+
+
+@pytest.mark.parametrize("limit", [None, "-1"])
+def test_rows_of_a_key_set(spark, conf, limit):
+    """By bitmaps first, or straight away where nothing may be broadcast; both give the same rows, and a hot key is split."""
+    if limit:
+        for key, value in SPLIT_SOON.items():
+            conf(f"spark.sql.{key}", value)
+    names = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("n"), F.col("id").cast("string")))
+    rows = spark.range(0, 60_000, 1, 16).select(names.alias("k"), (F.col("id") % 2).cast("int").alias("j"), "id", F.sha2(F.col("id").cast("string"), 256).alias("more"))
+    keys = rows.where("id % 5 = 0 or id < 3").select("k", "j", F.lit(1).alias("other")).unionAll(rows.where("id < 100").select("k", "j", F.lit(2)))
+    out = joins.keep_matching(rows, keys, ["k", "j"])
+    got = {r.id for r in out.collect()}
+    pairs = {(r.k, r.j) for r in keys.collect() if r.k is not None}
+    assert got == {r.id for r in rows.collect() if (r.k, r.j) in pairs} and out.columns == rows.columns
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    if limit:
+        assert "skew=true" in plan
+    else:
+        assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    assert joins.keep_matching(rows, keys.limit(0), ["k"]).count() == 0
+
+
+def test_a_merged_row_travels_once(spark):
+    df = spark.createDataFrame([(1, "a", 1, [], [f"t{k}" for k in range(50)], 3)], MERGE)
+    merged = entities.merge_duplicates(df, "id", "ord", "tags", ["Visits"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Generate inline" in plan
+    assert len(merged.first()["tags"]) == 50
+
+
+def test_allocation_of_very_many_labels(spark):
+    """The labels that get a row more are found without a window over all of them."""
+    n = 30_000
+    counts = spark.range(n).select(F.col("id").alias("label"), (F.col("id") % 3 + 1).cast("bigint").alias("n"))
+    plans = split.allocated(counts, F.col("n"), 0.15, "test")
+    plan = plans._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+    got = {r.label: (r.n, r.test) for r in plans.collect()}
+    total = sum(v[0] for v in got.values())
+    take = -(-total * 15 // 100)
+    exact = {k: v[0] * take / total for k, v in got.items()}
+    base = {k: int(x) for k, x in exact.items()}
+    first = sorted(exact, key=lambda k: (base[k] - exact[k], str(k)))[: take - sum(base.values())]
+    assert {k: v[1] for k, v in got.items()} == {k: b + (k in set(first)) for k, b in base.items()}
+
+
+def test_csv_with_breaks_is_split(spark, tmp_path):
+    texts = ["a\nb", "back\\slash", "\\n", "\\\n", "\r\n", 'quote " and, comma', "ñ", "end\\"]
+    df = spark.createDataFrame([(t, [t, "x"], k) for k, t in enumerate(texts)], "t string, l array<string>, k int")
+    write_csv(df, str(tmp_path / "own"))
+    schema = T.StructType([T.StructField("t", T.StringType()), T.StructField("l", T.StringType()), T.StructField("k", T.IntegerType())])
+    rows = read_csv(spark, str(tmp_path / "own"), schema, escaped=True)
+    back = rows.select("k", "t", sets.parse_list_literal(F.col("l")).alias("l")).orderBy("k").collect()
+    assert [(r.t, r.l) for r in back] == [(t, [t, "x"]) for t in texts]
+    assert all(len(p.read_text().splitlines()) - 1 == len(spark.read.text(str(p)).collect()) - 1 for p in (tmp_path / "own").glob("*.csv"))
+    write_csv(df, str(tmp_path / "plain"), escaped=False)
+    plain = read_csv(spark, str(tmp_path / "plain"), schema).orderBy("k").collect()
+    assert [r.t for r in plain if r.t != "\r\n"] == [t for t in texts if t != "\r\n"]

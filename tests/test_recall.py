@@ -6,6 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from split_soon import SPLIT_SOON
+
 from lumbre.operators import ranges
 from lumbre.plans import ivr
 
@@ -33,17 +35,6 @@ def computed(spark, rows):
     return {r[0]: (r[1], r[2]) for r in df.collect()}
 
 
-#: Settings under which joins of small tables are split, so that a test can see it.
-SPLIT_SOON = {
-    "adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
-    "adaptive.skewJoin.skewedPartitionFactor": "1.5",
-    "adaptive.advisoryPartitionSizeInBytes": "16k",
-    "adaptive.coalescePartitions.enabled": "false",
-    "autoBroadcastJoinThreshold": "-1",
-    "adaptive.autoBroadcastJoinThreshold": "-1",
-}
-
-
 def many_ranges(monkeypatch, per_task):
     monkeypatch.setattr(ranges, "RANGES_PER_TASK", per_task)
 
