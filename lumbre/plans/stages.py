@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lumbre.functions import engagement as E
 from lumbre.operators import geo, metrics, split
 from lumbre.plans import models, poi
-from lumbre.sources.tables import save
+from lumbre.sources.tables import save, save_scratch
 
 #: Clusters that label rows, as against the centres whose distances are features.
 N_CLUSTERS = 17
@@ -41,7 +41,7 @@ def prepare(engaged: DataFrame, folder: str) -> Prepared:
     rows = split_rows(engaged, folder)
     train = rows.where("split = 'train'")
     fitted = models.fit_kmeans_all(train, [N_CLUSTERS, poi.N_CENTRES])
-    clusters, centres = (models.centres_of(fitted[k]) for k in (N_CLUSTERS, poi.N_CENTRES))
+    clusters, centres = (fitted[k].centres for k in (N_CLUSTERS, poi.N_CENTRES))
     stats = poi.fit_stats(train, centres)
     stats.save(rows.sparkSession, f"{folder}/stats")
     featured = geo.nearest_centre(poi.preprocess(rows, stats), clusters)
@@ -61,16 +61,17 @@ def evaluate_regression(assembled: Prepared) -> DataFrame:
 
 
 def classified(assembled: Prepared) -> DataFrame:
-    """Truth ``t`` and prediction ``p`` of boosted trees for the engagement label on the test rows."""
+    """Truth ``t`` and prediction ``p`` of boosted trees for the engagement label on the test rows, written once."""
     model = models.fit_classifier(assembled.part("train"))
-    return model.transform(assembled.part("test")).select(
+    rows = model.transform(assembled.part("test")).select(
         E.label_class(F.col("engagement_label")).alias("t"), F.col("prediction").cast("int").alias("p")
     )
+    return save_scratch(rows, "classified")
 
 
 def evaluate_classification(assembled: Prepared) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Test report, accuracy and confusion matrix of boosted trees for the engagement label."""
-    scored = classified(assembled).persist()
+    scored = classified(assembled)
     classes = list(E.LABEL_CLASSES.values())
     return (
         metrics.classification_report(scored, "t", "p"),

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumbre.functions import engagement as E
+from lumbre.operators import geo
+from lumbre.operators.kmeans import Clusters
 from lumbre.plans import models, stages
 from lumbre.plans import poi as plan
 from lumbre.session import scratch_path
@@ -81,38 +83,53 @@ SWEEP = [10, 15, 16, 17, 18, 19, 20, 30]
     ),
 )
 def kmeans_fit(spark: SparkSession, folder: str) -> DataFrame:
-    # What must hold for a fit, whatever the starting points; the model is saved and loaded in between.
+    # What must hold for a fit, whatever the starting points; the fit is saved and loaded in between.
     train = _split_rows(spark, folder).where("split = 'train'")
-    path = scratch_path(spark, "kmeans")
-    models.save_kmeans(models.fit_kmeans(train, stages.N_CLUSTERS), path)
-    model = models.load_kmeans(path)
-    centres = models.centres_of(model)
-    lon, lat = F.col("locationLon"), F.col("locationLat")
-    far = F.array(*[E.distance(lon, lat, c) for c in centres])
-    assigned = model.transform(models.assemble(train, ["locationLon", "locationLat"]))
-    own = F.get(far, F.col("prediction"))
-    found = assigned.groupBy("prediction").agg(
-        F.count(F.lit(1)).alias("n"), F.bool_and(own <= F.array_min(far) + 1e-9).alias("near"), F.avg(lon).alias("lon"), F.avg(lat).alias("lat")
+    found = _saved_fit(spark, train)
+    assigned = geo.nearest_centre(train, found.centres, "cluster").groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("locationLon").alias("lon"), F.avg("locationLat").alias("lat")
     )
-    centre = F.get(F.array(*[F.array(*map(F.lit, c)) for c in centres]), F.col("prediction"))
+    centre, size = F.get(_literal(found.centres), F.col("cluster")), F.get(_literal(found.sizes), F.col("cluster"))
     moved = F.hypot(F.col("lon") - centre[0], F.col("lat") - centre[1])
-    return found.agg(
+    return assigned.agg(
         F.count(F.lit(1)).cast("int").alias("clusters"),
         F.sum("n").alias("n"),
-        F.bool_and("near").alias("at_nearest"),
+        F.bool_and(F.col("n") == size).alias("at_nearest"),
         F.bool_and(moved < 0.02).alias("at_means"),
     )
 
 
+def _literal(values: list):
+    return F.array(*[_literal(v) if isinstance(v, list) else F.lit(v) for v in values])
+
+
+def _saved_fit(spark: SparkSession, train: DataFrame) -> Clusters:
+    path = scratch_path(spark, "kmeans")
+    models.fit_kmeans(train, stages.N_CLUSTERS).save(spark, path)
+    return Clusters.load(spark, path)
+
+
+@case("kmeans_clusters")
+def kmeans_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    # The clusters themselves: rows next to each centre, the centre, and the cost of the whole fit.
+    found = _saved_fit(spark, _split_rows(spark, folder).where("split = 'train'")).table(spark)
+    return found.select("cluster", "n", F.col("centre")[0].alias("lon"), F.col("centre")[1].alias("lat"), "cost", "rounds")
+
+
 @case("kmeans_k_sweep", "SELECT unnest([" + ", ".join(map(str, SWEEP)) + "]) AS k, true AS falls")
 def kmeans_k_sweep(spark: SparkSession, folder: str) -> DataFrame:
     # More centres cost less, but for what the starting points make of it.
-    train = _split_rows(spark, folder).where("split = 'train'")
-    costs = models.k_sweep(train, SWEEP)
+    costs = kmeans_costs(spark, folder)
     before = F.lag("training_cost").over(Window.orderBy("k"))
     return costs.select("k", F.coalesce(F.col("training_cost") <= 1.05 * before, F.lit(True)).alias("falls"))
 
 
+@case("kmeans_costs")
+def kmeans_costs(spark: SparkSession, folder: str) -> DataFrame:
+    # The table behind an elbow plot: (k, training_cost).
+    return models.k_sweep(_split_rows(spark, folder).where("split = 'train'"), SWEEP)
+
+
 def _assembled(spark: SparkSession, folder: str, vectors: DataFrame | None = None) -> stages.Prepared:
     path = scratch_path(spark, "poi")
     return stages.assemble(stages.prepare(poi_engaged(spark, folder), path), path, vectors)
@@ -165,3 +182,24 @@ def gbt_classification(spark: SparkSession, folder: str) -> DataFrame:
 @case("gbt_classification_vectors", _facts_sql("true"))
 def gbt_classification_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return _classification(_assembled(spark, folder, _vectors(spark, folder)))
+
+
+@case("gbt_regression_metrics")
+def gbt_regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    # Test errors with the metadata alone and with the image vectors.
+    plain = stages.evaluate_regression(_assembled(spark, folder))
+    both = stages.evaluate_regression(_assembled(spark, folder, _vectors(spark, folder)))
+    return plain.withColumn("features", F.lit(28)).unionByName(both.withColumn("features", F.lit(92)))
+
+
+def _report(made: stages.Prepared, features: int) -> DataFrame:
+    """Test report with the accuracy, and the row of the confusion matrix where the line is a class."""
+    report, accuracy, matrix = stages.evaluate_classification(made)
+    counts = matrix.withColumn("label", F.col("label").cast("string"))
+    return report.join(counts, "label", "left").withColumns({"accuracy": accuracy.scalar(), "features": F.lit(features)})
+
+
+@case("gbt_classification_report")
+def gbt_classification_report(spark: SparkSession, folder: str) -> DataFrame:
+    plain = _report(_assembled(spark, folder), 28)
+    return plain.unionByName(_report(_assembled(spark, folder, _vectors(spark, folder)), 92))

@@ -23,8 +23,12 @@ def test_same_rows_as_sql(spark, duck, name, monkeypatch):
     assert rows_of(df.columns, df.collect()) == expected
 
 
+#: What no SQL can say, as it comes out of a fit; ``test_models`` holds the fits against plain ones.
+FITTED = {"kmeans_clusters", "kmeans_costs", "gbt_regression_metrics", "gbt_classification_report"}
+
+
 def test_every_case_has_its_sql():
-    assert set(ORACLES) == set(CASES)
+    assert set(ORACLES) == set(CASES) - FITTED
 
 
 def test_summary_agrees_with_single_fields(spark):

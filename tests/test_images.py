@@ -72,7 +72,7 @@ def test_unreadable_image_has_no_measures(spark):
 def test_kmeans_finds_separate_groups(spark):
     rows = [(10.0 * g + 0.01 * i, -5.0 * g + 0.01 * (i % 3)) for g in range(3) for i in range(20)]
     df = spark.createDataFrame(rows, "locationLon double, locationLat double")
-    centres = sorted(models.centres_of(models.fit_kmeans(df, 3, restarts=3)))
+    centres = sorted(models.fit_kmeans(df, 3, restarts=3).centres)
     assert [round(c[0], 2) for c in centres] == [0.1, 10.1, 20.1] or np.allclose([c[0] for c in centres], [0.095, 10.095, 20.095])
     costs = [r["training_cost"] for r in models.k_sweep(df, [2, 3, 4], restarts=2).collect()]
     assert costs == sorted(costs, reverse=True)
