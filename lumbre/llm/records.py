@@ -54,8 +54,13 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def frame(keys: list, ids: list[np.ndarray], wide: bool) -> tuple[bytes, np.ndarray]:
-    """Framed records of the sequences, and the byte offset of each (one more for the end)."""
+    """Framed records of the sequences, and the byte offset of each (one more for the end).
+
+    Without ``wide`` an id takes two bytes; one that does not fit is an error.
+    """
     unit = 4 if wide else 2
+    if not wide and any(len(x) and x.max() > 0xFFFF for x in ids):
+        raise ValueError("an id does not fit in two bytes; write with wide=True")
     sizes = np.array([_HEAD + unit * len(x) for x in ids], np.int64)
     ends = np.cumsum(sizes + _FRAME + _TAIL)
     starts = ends - sizes - _TAIL

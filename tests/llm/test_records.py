@@ -72,3 +72,17 @@ def test_odd_and_empty_tables(odd, none, tmp_path):
     mixed = read(manifest, shuffle_seed=1).collect()
     assert sorted(map(str, mixed)) == sorted(map(str, rows))
     assert read(write(none, str(tmp_path / "b"), make())).count() == 0
+
+
+def test_an_id_that_does_not_fit_is_an_error():
+    import numpy as np
+
+    from lumbre.llm.records import frame, unframe
+
+    ids = [np.array([1, 70_000], np.uint32), np.zeros(0, np.uint32)]
+    with pytest.raises(ValueError):
+        frame([1, 2], ids, wide=False)
+    data, offsets = frame([1, 2], ids, wide=True)
+    assert [x.tolist() for x in unframe(data, offsets)[1]] == [[1, 70_000], []]
+    data, offsets = frame([1], [np.array([65_535], np.uint32)], wide=False)
+    assert unframe(data, offsets)[1][0].tolist() == [65_535]
