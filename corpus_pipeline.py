@@ -18,7 +18,7 @@ from lumbre.llm.query_quality import quality_network
 from lumbre.llm.query_secrets import secret_model
 from lumbre.llm.secrets import redacted
 from lumbre.llm.tokens import encode
-from lumbre.sources.tables import save_scratch, scan
+from lumbre.sources.tables import save_scratch, scan, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +65,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
-    docs = scan(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = save_scratch(stage(spark, docs, sf_dir), name)
-    return docs
+    """All stages over the documents of a folder. What a stage wrote for itself goes when its table is there, and that
+    table when the next one is."""
+    with scratch(spark) as scope:
+        docs = scan(spark, sf_dir, "documents")
+        for name, stage in STAGES:
+            with scratch(spark) as own:
+                done = own.keep(save_scratch(stage(spark, docs, sf_dir), name))
+            scope.drop(docs)
+            docs = done
+        return scope.keep(docs)

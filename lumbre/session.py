@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -69,3 +70,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> str:
+    """Send the package to the executors of a session that was not given it with ``--py-files``; returns the archive.
+
+    Operators whose Python runs in tasks need it there, unless it is installed on the workers.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="lumbre-")
+    archive = shutil.make_archive(os.path.join(folder, "lumbre"), "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+    return archive

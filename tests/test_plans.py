@@ -181,3 +181,27 @@ def test_an_id_of_many_calls_is_not_gathered(spark, field):
     assert last == {"document_identification29997"}
     known = [r for r in got if r.calls_ivr_id is not None]
     assert all(r.document_identification == f"document_identification{max(r.calls_ivr_id, 29997 * (r.calls_ivr_id < 0))}" for r in known)
+
+
+def test_the_package_can_be_shipped(spark, tmp_path):
+    """From another folder, without the library on the path of the workers."""
+    import subprocess
+    import sys
+
+    archive = session.ship(spark)
+    code = "import lumbre.operators.kmeans as k; print(k.__file__)"
+    shown = subprocess.run([sys.executable, "-c", f"import sys; sys.path.insert(0, {archive!r}); {code}"], cwd=tmp_path, capture_output=True, text=True)
+    assert archive in shown.stdout, shown.stderr
+
+
+def test_queries_without_the_packages_of_the_training_data_operators(monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+
+    from lumbre.workloads import CASES
+
+    for name in [m for m in sys.modules if m.startswith("lumbre.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "tokenizers", None)
+    assert set(entry.queries()) == set(CASES)
