@@ -271,7 +271,7 @@ def _labelled(
     compared = save_scratch(_compared(cells, threshold, tolerance), "compared")
     links = compared.groupBy("class").agg(F.sum("links").alias("links"))
     linked = components(compared.where("class <> root").select(F.col("class").alias("u"), F.col("root").alias("v")))
-    found = links.join(linked.withColumnRenamed("node", "class"), "class", "left")
+    found = save_scratch(links.join(linked.withColumnRenamed("node", "class"), "class", "left"), "found")  # so that the join may split a class
     out = members.join(found, "class", "left")
     return out.select(
         "row", "id", "tie",
