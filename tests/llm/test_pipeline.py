@@ -51,5 +51,5 @@ def test_run_and_registration(spark):
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if re.match(r"op\d+_|pipeline$", n)]
-    assert sorted(n.split("_")[0] for n in names) == sorted([*(f"op{k}" for k in range(1, 11)), "pipeline"])
+    assert sorted(n.split("_")[0] for n in names) == sorted([*(f"op{k}" for k in range(1, 14)), "pipeline"])
     assert C.run(spark, SF).columns == ["doc_id", "n_tokens", "ids"]
