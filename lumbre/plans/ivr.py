@@ -319,20 +319,23 @@ def _looked_back(ranges: DataFrame, name: str, sign: int) -> DataFrame:
     return rows.withColumn(name, here).drop("_turn", "_state", *(f"_{k}" for k in own))
 
 
-def _carries(local: DataFrame, name: str, sign: int) -> DataFrame:
-    """What comes into each range of a phone that goes on from the range before it: one row per such range."""
-    end, over = F.col(f"{name}.end"), Window.partitionBy("phone").orderBy("_at")
-    ends = local.where(end.isNotNull()).select(
-        "phone", "part", (sign * F.col("part")).alias("_at"), end["state"].alias("state"), end["beside"].alias("beside"), F.col(f"{name}.one").alias("one")
+def _carries(local: DataFrame) -> DataFrame:
+    """What comes into each range of a phone that goes on from another one, either way: one row per such range."""
+    ends = local.where(" or ".join(f"{name}.end is not null" for name in WAYS)).groupBy("phone", "part").agg(
+        *[F.max(F.when(F.col(f"{name}.end").isNotNull(), F.struct(f"{name}.end", f"{name}.one"))).alias(name) for name in WAYS]
     )
-    turn = _turns(F.col("state.top"), F.col("state.other"), F.lag("state.top").over(over))
-    ends = ends.withColumn("_turn", turn)
-    other = F.last("_turn", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, 0))
-    ends = ends.withColumn("_whole", _state(F.col("state.top"), other))
-    ends = ends.withColumn("came", F.lag("_whole").over(over))
-    ends = ends.withColumn("_but_last", _continued(F.col("came"), F.col("one")))
-    carry = F.struct("came", F.lag("_but_last").over(over).alias("but_last"), F.lag("beside").over(over).alias("beside"))
-    return ends.withColumn(f"{name}_carry", carry).where("came is not null").select("part", "phone", f"{name}_carry")
+    for name, sign in WAYS.items():
+        over = Window.partitionBy("phone").orderBy(sign * F.col("part"))
+        end = F.col(name)["end"]
+        top, other = end["state"]["top"], end["state"]["other"]
+        ends = ends.withColumn("_turn", _turns(top, other, F.lag(top).over(over)))
+        whole = F.last("_turn", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, 0))
+        ends = ends.withColumn("_whole", _state(top, whole))
+        ends = ends.withColumn("_came", F.lag("_whole").over(over))
+        ends = ends.withColumn("_but_last", _continued(F.col("_came"), F.col(name)["one"]))
+        carry = F.struct(F.col("_came").alias("came"), F.lag("_but_last").over(over).alias("but_last"), F.lag(end["beside"]).over(over).alias("beside"))
+        ends = ends.withColumn(f"{name}_carry", carry)
+    return ends.where(" or ".join(f"{name}_carry.came is not null" for name in WAYS)).select("part", "phone", *[f"{name}_carry" for name in WAYS])
 
 
 def _with_neighbours(seconds: DataFrame) -> DataFrame:
@@ -347,9 +350,7 @@ def _with_neighbours(seconds: DataFrame) -> DataFrame:
     for name, sign in WAYS.items():
         local = _looked_back(local, name, sign)
     local = save_scratch(local.select("phone", "sec", "part", *WAYS), "recall-local")
-    out = local
-    for name, sign in WAYS.items():
-        out = out.join(_carries(local, name, sign), ["part", "phone"], "left")
+    out = local.join(_carries(local), ["part", "phone"], "left")
     for name, sign in WAYS.items():
         here, carry = F.col(name), F.col(f"{name}_carry")
         beside = F.coalesce(here["beside"], carry["beside"])
