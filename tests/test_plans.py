@@ -203,5 +203,5 @@ def test_queries_without_the_packages_of_the_training_data_operators(monkeypatch
 
     for name in [m for m in sys.modules if m.startswith("lumbre.llm") or m == "corpus_pipeline"]:
         monkeypatch.delitem(sys.modules, name)
-    monkeypatch.setitem(sys.modules, "tokenizers", None)
+    monkeypatch.setitem(sys.modules, "regex", None)
     assert set(entry.queries()) == set(CASES)
