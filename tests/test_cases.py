@@ -24,7 +24,7 @@ def test_same_rows_as_sql(spark, duck, name, monkeypatch):
 
 
 #: What no SQL can say, as it comes out of a fit; ``test_models`` holds the fits against plain ones.
-FITTED = {"kmeans_clusters", "kmeans_costs", "gbt_regression_metrics", "gbt_classification_report"}
+FITTED = {"kmeans_clusters", "kmeans_costs", *(f"gbt_regression{v}_metrics" for v in ("", "_vectors")), *(f"gbt_classification{v}_report" for v in ("", "_vectors"))}
 
 
 def test_every_case_has_its_sql():
