@@ -71,7 +71,8 @@ def _unescaped(text: Column) -> Column:
     def breaks(part: Column) -> Column:
         return F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
 
-    return F.array_join(F.transform(F.split(text, r"\\\\"), breaks), "\\")
+    cut = F.array_join(F.transform(F.split(text, r"\\\\"), breaks), "\\")
+    return F.when(F.contains(text, F.lit("\\")), cut).otherwise(text)  # most texts have none
 
 
 def read_images(spark: SparkSession, folder: str) -> DataFrame:

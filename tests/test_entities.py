@@ -269,3 +269,19 @@ def test_csv_with_breaks_is_split(spark, tmp_path):
     write_csv(df, str(tmp_path / "plain"), escaped=False)
     plain = read_csv(spark, str(tmp_path / "plain"), schema).orderBy("k").collect()
     assert [r.t for r in plain if r.t != "\r\n"] == [t for t in texts if t != "\r\n"]
+
+
+def test_sets_and_merges_are_compiled_and_send_a_row_once(spark):
+    """Sets are made without lambdas around the parsed text, and a row with one member is one row of the merge."""
+    df = spark.createDataFrame([("['b', \"a\", 'b']",), ("[]",), ("['x']\n",), ("['it\\'s']",), (None,)], "t string")
+    made = df.select("t", sets.to_set(sets.parse_list_literal(F.col("t"))).alias("s"))
+    assert [r.s for r in made.collect()] == [["a", "b"], [], ["x"], ["it's"], []]
+    text = made._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in text and "array_sort" not in text
+    rows = [(k, f"k{k}", 1, ["c"], ["t"] if k else [], 3) for k in range(100)]
+    merged = entities.merge_duplicates(spark.createDataFrame(rows, MERGE), "id", "ord", "tags", ["Visits"])
+    assert merged.count() == 100
+    found = merged.select("Visits", "xps", F.size("tags").alias("n")).groupBy("n").agg(F.sum("Visits"), F.sum("xps")).orderBy("n").collect()
+    assert [tuple(r) for r in found] == [(0, 3, 1), (1, 297, 99)]
+    assert "inline" in merged._jdf.queryExecution().executedPlan().toString()
+    assert "transform" not in merged._jdf.queryExecution().executedPlan().toString()
