@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from lumbre.functions import sets
 from lumbre.operators import metrics, profile, quantiles
 from lumbre.plans import poi as plan
-from lumbre.sources.tables import scan
+from lumbre.sources.tables import save_scratch, scan
 from lumbre.workloads.registry import case
-from lumbre.workloads.standins import poi, poi_raw, poi_rows, poi_stage, with_tables
+from lumbre.workloads.standins import poi, poi_raw, poi_rows, with_tables
 from lumbre.workloads.support import per_column, r, rounded
 
 NUMBERS = ["tier", "xps", "locationLon", "locationLat", *plan.METRICS]
@@ -95,7 +95,7 @@ def distinct_per_group(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def distinct_elements(spark: SparkSession, folder: str) -> DataFrame:
-    rows = poi(spark, folder)
+    rows = save_scratch(poi(spark, folder).select("categories", "tags"), "poi-sets")
     tags = profile.elements(rows, "tags").agg(F.count(F.lit(1)).alias("n"))
     categories = profile.elements(rows, "categories").agg(F.count(F.lit(1)).alias("n_categories"))
     return categories.withColumn("n_tags", tags.scalar())
@@ -218,7 +218,7 @@ _DESCRIBE = f"""{{name}} AS "column", count({{c}}) AS "count", {r("avg({c})")} A
 
 @case("describe", with_tables(per_column(NUMBERS, _DESCRIBE, "poi"), "poi"))
 def describe(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.describe(poi_stage(spark, folder), NUMBERS))
+    return rounded(profile.describe(save_scratch(poi(spark, folder).select(*NUMBERS), "poi-numbers"), NUMBERS))
 
 
 _PROBS = [0.1, 0.25, 0.5, 0.75, 0.9]
@@ -262,7 +262,8 @@ def _histogram_sql(column: str, bins: int, source: str) -> str:
     with_tables("\nUNION ALL\n".join(_histogram_sql(c, 40, "poi") for c in ("Likes", "Dislikes", "Bookmarks")), "poi"),
 )
 def histogram_fixed(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.histogram(poi_stage(spark, folder), ["Likes", "Dislikes", "Bookmarks"], 40))
+    columns = ["Likes", "Dislikes", "Bookmarks"]
+    return rounded(profile.histogram(save_scratch(poi(spark, folder).select(*columns), "poi-reactions"), columns, 40))
 
 
 def _box_sql(source: str, by: str, columns: list[str]) -> str:
@@ -290,8 +291,9 @@ def _box_sql(source: str, by: str, columns: list[str]) -> str:
     ),
 )
 def box_stats_by_group(spark: SparkSession, folder: str) -> DataFrame:
-    rows = poi_stage(spark, folder).select(F.explode("categories").alias("category"), "Bookmarks", "Likes", "Dislikes")
-    return rounded(profile.box_stats(rows, "category", ["Bookmarks", "Likes", "Dislikes"]))
+    columns = ["Bookmarks", "Likes", "Dislikes"]
+    saved = save_scratch(poi(spark, folder).select("categories", *columns), "poi-boxes")
+    return rounded(profile.box_stats(saved.select(F.explode("categories").alias("category"), *columns), "category", columns))
 
 
 _PAIRS = [("Visits", "Bookmarks"), ("Visits", "Likes"), ("Visits", "Dislikes"), ("Likes", "Bookmarks")]

@@ -150,3 +150,16 @@ def test_declared_schema():
     assert len(ACADEMY) == 6 and sum(len(t.foreign_keys) for t in ACADEMY) == 17
     assert sum(len(t.unique_not_null) for t in ACADEMY) == 3
     assert STAFF.schema["incorporation_date"].dataType == T.DateType()
+
+
+def test_distinct_per_group_deals_out_repeated_groups_only(spark, monkeypatch):
+    rows = [("a", 1, "x"), ("a", 2, "x"), ("a", 2, None), (None, 5, "p"), (None, 6, "q"), (None, 7, "q"), ("b", None, "z"), ("c", 9, None)]
+    df = spark.createDataFrame(rows, "k string, n int, t string")
+    seen = []
+    plain = profile.entities.duplicated
+    monkeypatch.setattr(profile.entities, "duplicated", lambda d, keys: seen.append(plain(d, keys).count()) or plain(d, keys))
+    assert dict(profile.distinct_per_group(df, "k", ["n", "t"]).collect()) == {"n": 3, "t": 2}
+    assert seen == [6]
+    assert dict(profile.distinct_per_group(df.where("k in ('b', 'c')"), "k", ["n", "t"]).collect()) == {"n": 1, "t": 1}
+    assert dict(profile.distinct_per_group(df.where("k = 'b'"), "k", ["n", "t"]).collect()) == {"n": 0, "t": 1}
+    assert dict(profile.distinct_per_group(df.where("false"), "k", ["n", "t"]).collect()) == {"n": None, "t": None}
