@@ -46,12 +46,14 @@ def pictures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_bitmaps(rows: DataFrame, path: str) -> None:
-    """One bitmap file per row below ``path``, written by the tasks that hold the rows."""
+    """One bitmap file per row below ``path``, written by the tasks that hold the rows, which also move their folders into
+    place: the driver would move them one after the other."""
     size = SIDE * SIDE * 3
     header = struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 54 + size, 0, 0, 54, 40, SIDE, SIDE, 1, 24, 0, size, 2835, 2835, 0, 0)
     bottom_up = F.concat(*[F.slice("pixels", row * SIDE + 1, SIDE) for row in reversed(range(SIDE))])
     content = F.unhex(F.concat(F.lit(header.hex()), _bgr_hex(bottom_up))).cast("string")
-    rows.select("vec_id", content.alias("content")).write.partitionBy("vec_id").text(path)
+    writer = rows.select("vec_id", content.alias("content")).write.partitionBy("vec_id")
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
 
 
 PIXELS_SQL = """px AS (SELECT vec_id, i, CAST(floor(abs(CAST(embedding[i + 1] AS DOUBLE)) * 1000) AS BIGINT) % 256 AS p
