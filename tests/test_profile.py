@@ -163,3 +163,20 @@ def test_distinct_per_group_deals_out_repeated_groups_only(spark, monkeypatch):
     assert dict(profile.distinct_per_group(df.where("k in ('b', 'c')"), "k", ["n", "t"]).collect()) == {"n": 1, "t": 1}
     assert dict(profile.distinct_per_group(df.where("k = 'b'"), "k", ["n", "t"]).collect()) == {"n": 0, "t": 1}
     assert dict(profile.distinct_per_group(df.where("false"), "k", ["n", "t"]).collect()) == {"n": None, "t": None}
+
+
+def test_unique_keys_are_counted_in_small_parts(spark, monkeypatch):
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before, seen = [spark.conf.get(n, None) for n in names], []
+
+    def spied(df, name):
+        seen.append([spark.conf.get(n) for n in names])
+        return plain(df, name)
+
+    plain = profile.save_scratch
+    monkeypatch.setattr(profile, "save_scratch", spied)
+    df = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    assert tuple(profile.unique_check(df, "k").first()) == (3, 2, False)
+    assert tuple(profile.unique_check(df.where("false"), "k").first()) == (0, 0, True)
+    assert seen == [["8m", "200"]] * 2
+    assert [spark.conf.get(n, None) for n in names] == before
