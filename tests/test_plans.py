@@ -66,6 +66,38 @@ def test_summary_of_the_named_table_does_not_shuffle_it(spark):
     assert "Exchange" not in plan
 
 
+def files_of(df):
+    return [f for f in df.inputFiles() if f.endswith(".parquet")]
+
+
+def test_named_tables_have_one_file_a_bucket(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    rows = spark.range(0, 1000, 1, 8).select((F.col("id") % 100).alias("k"), "id")
+    assert len(files_of(replace_table(rows, "files_of_test", "k"))) == 4
+    detail = replace_table(ivr_detail(spark, FOLDER, steps_first=True), "detail_files_of_test", "calls_ivr_id", dealt=True)
+    assert len(files_of(detail)) == 4
+
+
+def test_steps_first_gives_the_same_detail(spark):
+    calls = ivr_calls(spark, FOLDER)
+    modules, steps = ivr_modules(spark, FOLDER), ivr_steps(spark, FOLDER)
+    odd = modules.select(F.when(F.col("ivr_id") > 50, F.col("ivr_id")).alias("ivr_id"), *modules.columns[1:])
+    for m in (modules, modules.unionAll(modules), odd):
+        for salt in (False, True):
+            one, other = (ivr.detail(calls, m, steps, salt, 0.001, 2, steps_first=first) for first in (False, True))
+            assert one.columns == other.columns and one.count() == other.count()
+            assert one.exceptAll(other).count() == 0
+
+
+def test_steps_are_shuffled_once_and_without_their_texts(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_of(ivr_detail(spark, FOLDER, steps_first=True))
+    assert plan.count("Exchange") == 4
+    below = plan[plan.index("Window [row_number()") :]
+    assert "OTHER.TX" not in below
+
+
 def test_a_replaced_table_keeps_its_readers_and_survives_a_failed_write(spark):
     def rows(n):
         return spark.range(n).select(F.col("id").alias("k"))
