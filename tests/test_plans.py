@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumbre import session
 from lumbre.plans import ivr
-from lumbre.sources.tables import replace_table, save_scratch, scratch
+from lumbre.sources.tables import replace_table, save_bucketed, save_scratch, scratch
 from lumbre.workloads import calls
 from lumbre.workloads.standins import ivr_calls, ivr_detail, ivr_modules, ivr_steps
 
@@ -100,6 +100,43 @@ def test_steps_are_shuffled_once_and_without_their_texts(spark, conf):
     assert "OTHER.TX" not in below
 
 
+def test_lines_dealt_by_call_are_shuffled_once_each(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    with ivr.dealt_by_call(spark):
+        detail = ivr_detail(spark, FOLDER, steps_first=True, by_call=True)
+        plan = plan_of(detail)
+        saved = save_scratch(detail, "by-call")
+    assert re.findall(r"Exchange hashpartitioning\(([^,]*)#", plan) == ["ivr_id"] * 3 and plan.count("Exchange") == 3
+    other = ivr_detail(spark, FOLDER)
+    assert saved.columns == other.columns and saved.count() == other.count() > 0 and saved.exceptAll(other).isEmpty()
+
+
+def test_texts_of_steps_of_odd_keys(spark, tmp_path):
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").limit(8).drop("l_suppkey", "l_partkey", "l_linenumber").collect()
+    rows = [(k, k, 1 + i, *r) for i, (k, r) in enumerate(zip((-3, None, 0, 1, 2, 3, 4, 5), lines))]
+    schema = "l_suppkey bigint, l_partkey bigint, l_linenumber int, l_orderkey bigint, l_quantity double, l_extendedprice double, "
+    schema += "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {(r.document_identification, r.document_type, r.customer_phone) for r in ivr_steps(spark, str(tmp_path)).collect()}
+    unknown, other = ("UNKNOWN",) * 2, ("DESCONOCIDO",) * 2
+    assert got == {
+        (None, None, "UNKNOWN"), (None, None, None), (*unknown, "UNKNOWN"), (*other, "P1"), ("D3", "DNI", "UNKNOWN"), (*unknown, "P4"), (*other, None)
+    }
+
+
+def test_summary_comes_dealt_by_bucket(spark, saved, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    bucket = F.pmod(F.hash("calls_ivr_id"), F.lit(4))
+    tasks = ivr.summary(saved).groupBy(bucket.alias("b")).agg(F.count_distinct(F.spark_partition_id()).alias("n")).collect()
+    assert {r.b: r.n for r in tasks} == {b: 1 for b in range(4)}
+
+
+def test_dealt_rows_of_more_buckets_than_open_files(spark):
+    rows = spark.range(0, 5000, 1, 1).withColumn("text", F.sha2(F.col("id").cast("string"), 256))
+    table = save_bucketed(rows, "many_buckets_of_test", 100, "id", dealt=True)
+    assert len(files_of(table)) == 100 and table.count() == 5000 and table.exceptAll(rows).isEmpty()
+
+
 def test_a_replaced_table_keeps_its_readers_and_survives_a_failed_write(spark):
     def rows(n):
         return spark.range(n).select(F.col("id").alias("k"))
