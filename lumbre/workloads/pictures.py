@@ -3,7 +3,13 @@
 from __future__ import annotations
 
 import struct
+import sys
+import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +21,12 @@ from lumbre.workloads.registry import case
 from lumbre.workloads.standins import poi, with_tables
 from lumbre.workloads.support import per_column, r, rounded
 
+# The functions below travel to the executors themselves; the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SIDE = 8
+#: Files of a folder, at most.
+FOLDER_FILES = 10_000
 
 
 def _hex(value: Column) -> Column:
@@ -46,14 +57,48 @@ def pictures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_bitmaps(rows: DataFrame, path: str) -> None:
-    """One bitmap file per row below ``path``, written by the tasks that hold the rows, which also move their folders into
-    place: the driver would move them one after the other."""
+    """One bitmap file per number below ``path``, named by it; of rows with one number the first is written.
+
+    The tasks write the files themselves, through Arrow's filesystems, into hidden folders of their own, which are renamed
+    when they are full: a folder per picture would take the committer and the listing far longer than the pictures.
+    """
     size = SIDE * SIDE * 3
     header = struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 54 + size, 0, 0, 54, 40, SIDE, SIDE, 1, 24, 0, size, 2835, 2835, 0, 0)
     bottom_up = F.concat(*[F.slice("pixels", row * SIDE + 1, SIDE) for row in reversed(range(SIDE))])
-    content = F.unhex(F.concat(F.lit(header.hex()), _bgr_hex(bottom_up))).cast("string")
-    writer = rows.select("vec_id", content.alias("content")).write.partitionBy("vec_id")
-    writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+    content = F.unhex(F.concat(F.lit(header.hex()), _bgr_hex(bottom_up)))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = rows.repartition(parts, "vec_id").select(F.col("vec_id").cast("string").alias("name"), content.alias("content"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(path)
+        store.create_dir(root, recursive=True)
+        part, seen, hidden, folders = TaskContext.get().partitionId(), set(), "", 0
+        for batch in batches:
+            for name, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if name in seen:
+                    continue
+                if len(seen) % FOLDER_FILES == 0:
+                    if hidden:
+                        _shown(store, hidden, f"{root}/part-{part:05d}-{folders:05d}")
+                        folders += 1
+                    hidden = f"{root}/_{uuid.uuid4().hex}"
+                    store.create_dir(hidden)
+                seen.add(name)
+                with store.open_output_stream(f"{hidden}/{name}.bmp") as out:
+                    out.write(b"\n" if content is None else content)  # a picture that is not known cannot be read either
+        if hidden:
+            _shown(store, hidden, f"{root}/part-{part:05d}-{folders:05d}")
+        yield pa.RecordBatch.from_arrays([pa.array([len(seen)])], ["n"])
+
+    files.mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
+def _shown(store: fs.FileSystem, hidden: str, folder: str) -> None:
+    """Give a folder its name, unless another run of the task did."""
+    if store.get_file_info(folder).type == fs.FileType.NotFound:
+        store.move(hidden, folder)
+    else:
+        store.delete_dir(hidden)
 
 
 PIXELS_SQL = """px AS (SELECT vec_id, i, CAST(floor(abs(CAST(embedding[i + 1] AS DOUBLE)) * 1000) AS BIGINT) % 256 AS p
@@ -85,7 +130,7 @@ def scan_images(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(prepare(spark), "pictures")
     write_bitmaps(pixel_rows(spark, folder), path)
     found = read_images(spark, path)
-    vec_id = F.substring_index(F.substring_index("main_image_path", "/", 1), "=", -1).cast("bigint")
+    vec_id = F.substring_index(F.substring_index("main_image_path", "/", -1), ".", 1).try_cast("bigint")
     return found.select(
         vec_id.alias("vec_id"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), F.hex("image.data").alias("bytes")
     )

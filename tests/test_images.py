@@ -11,6 +11,7 @@ from lumbre.operators.images import image_quality
 from lumbre.plans import models
 from lumbre.sources.files import read_images
 from lumbre.sources.tables import save_bucketed
+from lumbre.workloads import pictures as cases
 
 
 def png(path, pixels, color_type):
@@ -101,3 +102,29 @@ def test_bucketed_table_joins_without_shuffle(spark, tmp_path):
     assert "Exchange" not in plan
     for name in ("left_b", "right_b"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_pictures_share_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cases, "FOLDER_FILES", 4)
+    pixels = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: (i * (F.col("id") + 3)) % 256)
+    rows = spark.range(30).select(F.col("id").alias("vec_id"), pixels.alias("pixels"))
+    unknown = spark.sql("SELECT 77L AS vec_id, CAST(NULL AS ARRAY<BIGINT>) AS pixels UNION ALL SELECT NULL, transform(sequence(0, 63), i -> CAST(i AS BIGINT))")
+    cases.write_bitmaps(rows.unionAll(rows).unionAll(unknown), str(tmp_path / "p"))
+    folders = [f for f in (tmp_path / "p").iterdir()]
+    assert all(f.name.startswith("part-") and 1 <= len(list(f.iterdir())) <= 4 for f in folders) and len(folders) < 16
+    found = {r.main_image_path.split("/")[-1]: r.image for r in read_images(spark, str(tmp_path / "p")).collect()}
+    assert set(found) == {*(f"{i}.bmp" for i in range(30)), "77.bmp", "None.bmp"} and found["77.bmp"].height == -1
+    for i in range(30):
+        p = [j * (i + 3) % 256 for j in range(64)]
+        assert bytes(found[f"{i}.bmp"].data) == bytes(v for x in p for v in (x, 255 - x, x * 7 % 256))
+
+
+def test_a_folder_that_another_run_named_stays(tmp_path):
+    from pyarrow import fs
+
+    for name in ("_one", "_two"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.bmp").write_text(name)
+        cases._shown(fs.LocalFileSystem(), str(tmp_path / name), str(tmp_path / "part-00000-00000"))
+    assert [f.name for f in tmp_path.iterdir()] == ["part-00000-00000"]
+    assert (tmp_path / "part-00000-00000" / "a.bmp").read_text() == "_one"
